@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The accepted time grammars.
@@ -18,7 +18,7 @@ SYSLOG_TIME = (
     r"|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
     r" {1,2}(\d{1,2}) (\d{1,2}):(\d{1,2}):(\d{1,2})\z"
 )
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 READABLE_ZONE = "UTC"
 
 DAY_MS = 86_400_000
@@ -52,65 +52,57 @@ def _clock(as_of: datetime | Column | None) -> tuple[Column, Column]:
     return F.lit(millis).cast("bigint"), F.lit(now.year)
 
 
-def syslog_time_parts(text: Column) -> Column:
-    """``MMM d HH:mm:ss`` cut into [month, day, hour, minute, second] strings, null if it is no such time."""
-    flat = F.regexp_replace(text, SYSLOG_TIME, "$1 $2 $3 $4 $5")
-    return F.when(text.rlike(SYSLOG_TIME), F.split(flat, " ", -1))
+def add_syslog_time(
+    df: DataFrame, text: Column, name: str, as_of: datetime | Column | None = None, year_rule: str = "reference"
+) -> DataFrame:
+    """Add epoch milliseconds (UTC) of a ``MMM d HH:mm:ss`` time as column ``name``, null if it is no such time.
 
-
-def syslog_time_millis(parts: Column, as_of: datetime | Column | None = None, year_rule: str = "reference") -> Column:
-    """Epoch milliseconds (UTC) of a time that names no year, null if it is not a time.
-
-    ``parts`` comes from :func:`syslog_time_parts`. The year is taken from ``as_of`` (a UTC clock; a
-    ``datetime``, or a zone-less timestamp column) and repaired:
+    The year is taken from ``as_of`` (a UTC clock: a ``datetime`` or a zone-less timestamp column; by
+    default the clock of the moment the query is built) and repaired:
 
     * ``reference``: one year back if the time is over a month ahead of the clock, one year on if it
       is over a month behind it;
     * ``nearest``: the year that brings the time closest to the clock.
     """
     now, year = _clock(as_of)
-    number = [F.get(parts, i).try_cast("int") for i in range(1, 5)]
-    day, hour, minute, second = number
-    month = _month(F.get(parts, 0))
-    first = F.make_date(F.lit(2000), month, F.lit(1))  # a leap year, so Feb 29 exists
-    valid = (
-        day.between(1, F.dayofmonth(F.last_day(first)))
-        & (hour <= 23)
-        & (minute <= 59)
-        & (second <= 59)
+    # The rewritten text differs from a time (no colons) and equals anything else, so one match does both.
+    flat = df.withColumn("_text", text).withColumn("_flat", F.regexp_replace("_text", SYSLOG_TIME, "$1 $2 $3 $4 $5"))
+    cut = flat.withColumn("_cut", F.when(F.col("_flat") != F.col("_text"), F.split("_flat", " ", -1)))
+    month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(F.get("_cut", F.lit(0)), 1, 3)))
+    day, hour, minute, second = (F.get("_cut", F.lit(i)).try_cast("int") for i in range(1, 5))
+    first = F.make_date(F.lit(2000), month.cast("int"), F.lit(1))  # a leap year, so Feb 29 exists
+    day_in_month = day.between(1, F.dayofmonth(F.last_day(F.col("_first"))))
+    in_day = (hour <= 23) & (minute <= 59) & (second <= 59)
+    of_day = F.when(in_day, (hour * 3600 + minute * 60 + second).cast("bigint") * 1000)
+    dated = (
+        cut.withColumn("_first", first)
+        .withColumn("_day", F.when(day_in_month, F.date_add(F.col("_first"), day - 1)))
+        .withColumn("_of_day", of_day)
     )
-    base = F.date_add(first, day - 1)
-    of_day = (hour * 3600 + minute * 60 + second).cast("bigint") * 1000
 
-    def at(years: Column | int, months: int = 0) -> Column:
+    def at(years: int, months: int = 0) -> Column:
         # add_months clamps to the month's end (Feb 29 becomes Feb 28 in common years)
-        moved = F.add_months(base, (year + years - 2000) * 12)
+        moved = F.add_months(F.col("_day"), (year + (years - 2000)) * 12)
         if months:
             moved = F.add_months(moved, months)
-        return F.unix_date(moved).cast("bigint") * DAY_MS + of_day
+        return F.unix_date(moved).cast("bigint") * DAY_MS + F.col("_of_day")
 
+    this, before, after = F.col("_this"), F.col("_before"), F.col("_after")
     if year_rule == "reference":
-        picked = (
-            F.when((at(0) > now) & (at(0, -1) > now), at(-1))
-            .when((at(0) < now) & (at(0, 1) < now), at(1))
-            .otherwise(at(0))
-        )
+        ahead = (this > now) & (at(0, -1) > now)
+        behind = (this < now) & (at(0, 1) < now)
+        picked = F.when(ahead, before).when(behind, after).otherwise(this)
     elif year_rule == "nearest":
-        gap = lambda years: F.abs(at(years) - now)
+        gap, gap_before, gap_after = F.abs(this - now), F.abs(before - now), F.abs(after - now)
         picked = (
-            F.when((gap(-1) < gap(0)) & (gap(-1) <= gap(1)), at(-1))
-            .when(gap(1) < gap(0), at(1))
-            .otherwise(at(0))
+            F.when((gap_before < gap) & (gap_before <= gap_after), before).when(gap_after < gap, after).otherwise(this)
         )
     else:
         raise ValueError(f"unknown year_rule: {year_rule!r}")
+    placed = dated.withColumns({"_this": at(0), "_before": at(-1), "_after": at(1)})
     # Millisecond 0 is the mark for "no time" in the output schema.
-    return F.when(parts.isNotNull() & valid, F.nullif(picked, F.lit(0).cast("bigint")))
-
-
-def _month(name: Column) -> Column:
-    at = F.instr(F.lit(MONTHS), F.lower(F.substring(name, 1, 3)))
-    return F.floor((at + 2) / 3).cast("int")
+    timed = placed.withColumn(name, F.nullif(picked, F.lit(0).cast("bigint")))
+    return timed.drop("_text", "_flat", "_cut", "_first", "_day", "_of_day", "_this", "_before", "_after")
 
 
 def readable_time(millis: Column, zone: str = READABLE_ZONE) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.headers import header_get, header_put
 from logloom.functions.text import short_host
-from logloom.functions.times import READABLE_ZONE, readable_time, syslog_time_millis, syslog_time_parts
+from logloom.functions.times import READABLE_ZONE, add_syslog_time, readable_time
 from logloom.operators.enrich import CUSTOMER_HEADER, HOST_HEADER, UNKNOWN
 from logloom.operators.events import text_body
 from logloom.schemas import conform
@@ -34,8 +34,8 @@ def parse_syslog(
     """
     body = F.col("body")
     long_enough = F.char_length(body) >= TIME_CHARS
-    stamped = text_body(events).withColumn("_time", syslog_time_parts(F.when(long_enough, F.substring(body, 1, TIME_CHARS))))
-    timed = stamped.withColumn("_ms", syslog_time_millis(F.col("_time"), as_of, year_rule))
+    stamp = F.when(long_enough, F.substring(body, 1, TIME_CHARS))
+    timed = add_syslog_time(text_body(events), stamp, "_ms", as_of, year_rule)
     known_time = F.col("_ms").isNotNull()
     start = TIME_CHARS + 2  # one character, whatever it is, stands between time and host
     cut = timed.withColumn("_space", F.when(known_time, F.locate(" ", body, start)))

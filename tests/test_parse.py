@@ -1,8 +1,8 @@
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
+from logloom.functions.times import add_syslog_time, readable_time
 from logloom.operators.access_log import parse_access_log, typed_access_log
 from logloom.operators.app_log import parse_app_log
 from logloom.operators.enrich import registry_from_lines
@@ -97,26 +97,25 @@ def test_app_log(spark):
     assert rows[bodies[7]].message.endswith("at x § ")
 
 
-@pytest.mark.parametrize(
-    "text, millis",
-    [
-        ("2013-03-01T11:23:50.765+0100", 1362133430765),
-        ("2013-03-01T11:23:50.765+01:00", 1362133430765),
-        ("2013-03-01T11:23:50.765+01", 1362133430765),
-        ("2013-03-01T10:23:50.765Z", 1362133430765),
-        ("2013-3-1t10:23:50.7-0000", 1362133430700),
-        ("2013-03-01T11:23:50.765", 0),
-        ("2013-03-01T11:23:50+0100", 0),
-        ("2013-02-30T11:23:50.765+0100", 0),
-        ("2013-03-01T24:23:50.765+0100", 0),
-        ("2013-03-01 11:23:50.765+0100", 0),
-        ("2013-03-01T11:23:50.7651+0100", 0),
-    ],
-)
-def test_app_log_times(spark, text, millis):
-    row = parse_app_log(events(spark, [({}, f"[#|{text}|INFO|x")])).first()
-    assert row.timestamp == millis
-    assert (row.datetime != "") == (millis != 0)
+APP_TIMES = {
+    "2013-03-01T11:23:50.765+0100": 1362133430765,
+    "2013-03-01T11:23:50.765+01:00": 1362133430765,
+    "2013-03-01T11:23:50.765+01": 1362133430765,
+    "2013-03-01T10:23:50.765Z": 1362133430765,
+    "2013-3-1t10:23:50.7-0000": 1362133430700,
+    "2013-03-01T11:23:50.765": 0,
+    "2013-03-01T11:23:50+0100": 0,
+    "2013-02-30T11:23:50.765+0100": 0,
+    "2013-03-01T24:23:50.765+0100": 0,
+    "2013-03-01 11:23:50.765+0100": 0,
+    "2013-03-01T11:23:50.7651+0100": 0,
+}
+
+
+def test_app_log_times(spark):
+    rows = parsed(parse_app_log(events(spark, [({}, f"[#|{text}|INFO|x") for text in APP_TIMES])))
+    assert {text: rows[f"[#|{text}|INFO|x"].timestamp for text in APP_TIMES} == APP_TIMES
+    assert all((row.datetime != "") == (row.timestamp != 0) for row in rows.values())
 
 
 def test_app_log_message_to_last_marker(spark):
@@ -190,34 +189,46 @@ def test_syslog_short_host_lookup(spark):
     assert row.headers == {"host": "LONG.example.com", "customer": "winthing"}
 
 
-@pytest.mark.parametrize(
-    "as_of, reference, nearest",
-    [("2013-03-02", 2013, 2013), ("2013-02-15", 2013, 2013), ("2013-01-20", 2012, 2013), ("2013-04-15", 2014, 2013),
-     ("2013-12-31", 2014, 2014), ("2013-09-05", 2014, 2014), ("2013-08-20", 2014, 2013)],
-)
-def test_year_repair(spark, as_of, reference, nearest):
-    one = events(spark, [({}, "Mar  1 00:00:00 h m")])
-    clock = datetime.fromisoformat(as_of)
-    for rule, year in (("reference", reference), ("nearest", nearest)):
-        row = parse_syslog(one, registry(spark), clock, rule).first()
-        assert row.datetime == f"{year}-03-01 00:00:00"
-        by_column = parse_syslog(one, registry(spark), F.lit(as_of).cast("timestamp_ntz"), rule).first()
-        assert by_column.timestamp == row.timestamp
-
-
-@pytest.mark.parametrize(
-    "text, expected",
-    [
-        ("Feb 29 10:00:00", "2013-02-28 10:00:00"), ("Feb 30 10:00:00", ""), ("FEB 28 10:00:00", "2013-02-28 10:00:00"),
-        ("Mar  0 10:00:00", ""), ("Mar  1 24:00:00", ""), ("Mar  1 10:60:00", ""), ("Foo  1 10:00:00", ""),
-        ("June 1 10:00:00", "2014-06-01 10:00:00"), ("Mar-01 10:00:00", ""),
-    ],
-)
-def test_syslog_times(spark, text, expected):
-    # A date over a month ahead of the clock goes back a year only if it is later this year.
-    clock = datetime(2014, 5, 20) if text.startswith("June") else datetime(2013, 3, 2)
-    row = parse_syslog(events(spark, [({}, text + " h m")]), registry(spark), clock).first()
-    assert row.datetime == expected
+YEARS = {  # clock: year of a March 1 by the reference rule and by the nearest rule
+    "2013-03-02": (2013, 2013),
+    "2013-02-15": (2013, 2013),
+    "2013-01-20": (2012, 2013),
+    "2013-04-15": (2014, 2013),
+    "2013-12-31": (2014, 2014),
+    "2013-09-05": (2014, 2014),
+    "2013-08-20": (2014, 2013),
+}
+
+
+def test_year_repair(spark):
+    rows = spark.createDataFrame([(clock, "Mar  1 00:00:00") for clock in YEARS], "clock string, text string")
+    clock = F.col("clock").cast("timestamp_ntz")
+    for at, rule in enumerate(("reference", "nearest")):
+        timed = add_syslog_time(rows, F.col("text"), "ms", clock, rule)
+        got = {r.clock: r.at for r in timed.select("clock", readable_time(F.col("ms")).alias("at")).collect()}
+        assert got == {clock: f"{years[at]}-03-01 00:00:00" for clock, years in YEARS.items()}
+
+
+def test_clock_as_column_or_datetime(spark):
+    for moment in (datetime(2013, 4, 1), datetime(2013, 4, 1, 0, 0, 0, 1000), datetime(2013, 1, 31, 23, 59, 59)):
+        one = spark.createDataFrame([("Mar  1 00:00:00",)], "text string")
+        by_value = add_syslog_time(one, F.col("text"), "ms", moment)
+        by_column = add_syslog_time(one, F.col("text"), "ms", F.lit(moment.isoformat()).cast("timestamp_ntz"))
+        assert by_value.first().ms == by_column.first().ms
+
+
+SYSLOG_TIMES = {
+    "Feb 29 10:00:00": "2013-02-28 10:00:00", "Feb 30 10:00:00": None, "FEB 28 10:00:00": "2013-02-28 10:00:00",
+    "Mar  0 10:00:00": None, "Mar  1 24:00:00": None, "Mar  1 10:60:00": None, "Foo  1 10:00:00": None,
+    "June 1 10:00:00": "2012-06-01 10:00:00", "Mar-01 10:00:00": None, "Mar  1 10:00:00": "2013-03-01 10:00:00",
+}
+
+
+def test_syslog_times(spark):
+    rows = spark.createDataFrame([(text,) for text in SYSLOG_TIMES], "text string")
+    timed = add_syslog_time(rows, F.col("text"), "ms", datetime(2013, 3, 2))
+    got = timed.select("text", readable_time(F.col("ms")).alias("at")).collect()
+    assert {r.text: r.at for r in got} == SYSLOG_TIMES
 
 
 def test_string_events(spark):
