@@ -19,8 +19,9 @@ LINE_PATTERN = (
 FIELD_BREAK = '" '
 
 
-def parse_access_log(events: DataFrame) -> DataFrame:
+def parse_access_log(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse ``headers, body``; a line of another form keeps ``original`` and gets defaults and ``no_match``.
+    ``keep`` names further columns to carry along.
 
     The line is matched once: the match is rewritten to its groups with breaks between them, and a
     line that does not match comes back unchanged.
@@ -36,7 +37,7 @@ def parse_access_log(events: DataFrame) -> DataFrame:
         for name, value in zip(ACCESS_FIELDS, fields)
     ]
     status = F.when(F.col("_parts").isNull(), "no_match").otherwise("ok").alias("parse_status")
-    return conform(parts.select("headers", "original", *typed, status), "access", ("parse_status",))
+    return conform(parts.select("headers", "original", *typed, status, *keep), "access", ("parse_status", *keep))
 
 
 def typed_access_log(parsed: DataFrame) -> DataFrame:

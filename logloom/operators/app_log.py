@@ -12,12 +12,17 @@ from logloom.schemas import conform
 END_MARK = "|#]"
 
 
-def parse_app_log(events: DataFrame, display_tz: str = READABLE_ZONE, message_to_last_marker: bool = False) -> DataFrame:
+def parse_app_log(
+    events: DataFrame,
+    display_tz: str = READABLE_ZONE,
+    message_to_last_marker: bool = False,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Parse ``headers, body`` by the pipes in the body.
 
     Text before the first pipe is dropped. A field counts only if a pipe follows it; the message is
     the text after the last counted field, up to its own first pipe. ``message_to_last_marker`` lets
-    a message hold pipes: it then runs up to the last end mark.
+    a message hold pipes: it then runs up to the last end mark. ``keep`` names columns to carry along.
     """
     # Seven pipes decide everything, so the rest of a long message is left in one piece.
     cut = text_body(events).withColumn("_p", F.split("body", r"\|", 8)).withColumn("_pipes", F.size("_p") - 1)
@@ -44,5 +49,6 @@ def parse_app_log(events: DataFrame, display_tz: str = READABLE_ZONE, message_to
         field(5).alias("thread"),
         message.alias("message"),
         status.alias("parse_status"),
+        *keep,
     )
-    return conform(fields, "app", ("parse_status",))
+    return conform(fields, "app", ("parse_status", *keep))

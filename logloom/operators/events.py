@@ -9,9 +9,9 @@ from logloom.functions.text import decode_bytes
 from logloom.schemas import conform
 
 
-def string_events(events: DataFrame) -> DataFrame:
-    """``headers, body`` with the bytes of the body read as UTF-8."""
-    return conform(text_body(events), "event")
+def string_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``headers, body`` with the bytes of the body read as UTF-8; ``keep`` names columns to carry along."""
+    return conform(text_body(events), "event", keep)
 
 
 def text_body(events: DataFrame) -> DataFrame:

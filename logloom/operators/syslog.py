@@ -26,11 +26,13 @@ def parse_syslog(
     customer_header: str = CUSTOMER_HEADER,
     host_header: str = HOST_HEADER,
     shorten_host: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Parse ``headers, body`` and set the customer header.
 
     The host in the body replaces the host header. The customer is looked up by the full host name,
     lowered (``shorten_host`` cuts it at the first dot). A body shorter than a time is kept as it is.
+    ``keep`` names columns to carry along.
     """
     body = F.col("body")
     long_enough = F.char_length(body) >= TIME_CHARS
@@ -70,5 +72,6 @@ def parse_syslog(
         F.col("_name").alias("hostname"),
         message.alias("message"),
         status.alias("parse_status"),
+        *keep,
     )
-    return conform(fields, "syslog", ("parse_status",))
+    return conform(fields, "syslog", ("parse_status", *keep))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from functools import lru_cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -25,9 +26,13 @@ def table_format(spark: SparkSession, wanted: str | None = None) -> str:
 
 @lru_cache(maxsize=8)
 def _has_avro(spark: SparkSession) -> bool:
-    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    # Spark finds formats by their service entries; the Avro one comes with the spark-avro package.
-    return loader.getResource("org/apache/spark/sql/avro/AvroFileFormat.class") is not None
+    # Avro comes in a package of its own. Asking for a path that is not there tells a session that
+    # knows the format (no such path) from one that does not (no such source).
+    try:
+        spark.read.format("avro").schema("x int").load("/no/such/path")
+    except AnalysisException as error:
+        return error.getCondition() == "PATH_NOT_FOUND"
+    return True
 
 
 def customer_column(table: DataFrame, customer_header: str = CUSTOMER_HEADER) -> DataFrame:
