@@ -21,8 +21,17 @@ def header_has(headers: Column, name: str) -> Column:
 
 def header_put(headers: Column, name: str, value: Column) -> Column:
     """Set a header, replacing what it held."""
-    others = F.map_filter(headers, lambda k, _: k != F.lit(name))
-    return F.map_concat(others, F.create_map(F.lit(name), value))
+    return headers_put(headers, {name: value})
+
+
+def headers_put(headers: Column, values: dict[str, Column]) -> Column:
+    """Set several headers, replacing what they held."""
+    names = [F.lit(name) for name in values]
+    present = F.arrays_overlap(F.map_keys(headers), F.array(*names))
+    others = F.map_filter(headers, lambda key, _: ~key.isin(*names))
+    pairs = [part for name, value in zip(names, values.values()) for part in (name, value)]
+    # Taking keys out means a loop over the map, so it is done only where one is there.
+    return F.map_concat(F.when(present, others).otherwise(headers), F.create_map(*pairs))
 
 
 def merge_keep(headers: Column, statics: Column) -> Column:

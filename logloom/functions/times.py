@@ -11,6 +11,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.settle import settle
+
 # The accepted time grammars.
 APP_TIME = r"(?i)\A\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,3}(?:Z|[+-]\d{2}(?::?\d{2})?)\z"
 SYSLOG_TIME = (
@@ -26,8 +28,7 @@ DAY_MS = 86_400_000
 
 def app_time_millis(text: Column) -> Column:
     """``yyyy-MM-dd'T'HH:mm:ss.SSS`` with a zone offset to epoch milliseconds, else null."""
-    stamp = F.try_to_timestamp(F.upper(text), F.lit("yyyy-M-d'T'H:m:s.SSS[XXX][XX][X]"))
-    return F.when(text.rlike(APP_TIME), F.unix_millis(stamp))
+    return F.when(text.rlike(APP_TIME), F.unix_millis(F.upper(text).try_cast("timestamp")))
 
 
 def access_time(text: Column) -> Column:
@@ -102,7 +103,7 @@ def add_syslog_time(
     placed = dated.withColumns({"_this": at(0), "_before": at(-1), "_after": at(1)})
     # Millisecond 0 is the mark for "no time" in the output schema.
     timed = placed.withColumn(name, F.nullif(picked, F.lit(0).cast("bigint")))
-    return timed.drop("_text", "_flat", "_cut", "_first", "_day", "_of_day", "_this", "_before", "_after")
+    return settle(timed, name).drop("_text", "_flat", "_cut", "_first", "_day", "_of_day", "_this", "_before", "_after")
 
 
 def readable_time(millis: Column, zone: str = READABLE_ZONE) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.settle import settle
 from logloom.functions.times import access_time
 from logloom.operators.events import text_body
 from logloom.schemas import ACCESS_FIELDS, conform
@@ -15,22 +16,29 @@ LINE_PATTERN = (
     r'"([^"]+)" "([^"]+)" (\S+)? "(\S+)" (\d+|-)? (\d+|-)? ([+|\-|X])? "([^"]+)"? "([^"]+)"? (\d+|-)? (\d+|-)?'
 )
 
-# No group can hold a quote followed by a space (each excludes one of the two), so this cuts fields safely.
-FIELD_BREAK = '" '
+# A break between rewritten fields must not occur in them. The control character is the fast choice; for a
+# line that holds it, a quote followed by a space is safe too, since every group excludes one of the two.
+FAST_BREAK = "\x01"
+SAFE_BREAK = '" '
 
 
 def parse_access_log(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse ``headers, body``; a line of another form keeps ``original`` and gets defaults and ``no_match``.
-    ``keep`` names further columns to carry along.
 
-    The line is matched once: the match is rewritten to its groups with breaks between them, and a
+    ``keep`` names further columns to carry along. The line is matched once: the match is rewritten to its groups with breaks between them, and a
     line that does not match comes back unchanged.
     """
-    groups = FIELD_BREAK.join(f"${i}" for i in range(1, len(ACCESS_FIELDS) + 1))
     lines = text_body(events).withColumnRenamed("body", "original")
-    flat = lines.withColumn("_flat", F.regexp_replace("original", LINE_PATTERN + r"\z", groups))
-    matched = F.col("_flat") != F.col("original")
-    parts = flat.withColumn("_parts", F.when(matched, F.split("_flat", FIELD_BREAK, -1)))
+    original, flat = F.col("original"), F.col("_flat")
+    odd = F.contains(original, F.lit(FAST_BREAK))
+
+    def rewritten(mark: str):
+        groups = mark.join(f"${i}" for i in range(1, len(ACCESS_FIELDS) + 1))
+        return F.regexp_replace(original, LINE_PATTERN + r"\z", groups)
+
+    cut = F.when(odd, F.split(flat, SAFE_BREAK, -1)).otherwise(F.split(flat, FAST_BREAK, -1))
+    matched = lines.withColumn("_flat", F.when(odd, rewritten(SAFE_BREAK)).otherwise(rewritten(FAST_BREAK)))
+    parts = settle(matched.withColumn("_parts", F.when(flat != original, cut)), "_parts")
     fields = [F.get("_parts", F.lit(i)) for i in range(len(ACCESS_FIELDS))]
     typed = [
         (value.try_cast("int") if name == "statuscode" else value).alias(name)

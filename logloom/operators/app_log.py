@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.settle import settle
 from logloom.functions.times import READABLE_ZONE, app_time_millis, readable_time
 from logloom.operators.events import text_body
 from logloom.schemas import conform
@@ -36,7 +37,7 @@ def parse_app_log(
         whole = F.when(rest.contains(END_MARK), F.substring_index(rest, END_MARK, -1))
         upto = F.substr(rest, F.lit(1), F.char_length(rest) - F.char_length(whole) - len(END_MARK))
         message = F.when(F.col("_pipes") >= 6, F.coalesce(upto, rest)).otherwise(message)
-    timed = cut.withColumn("_ms", app_time_millis(field(1)))
+    timed = settle(cut.withColumn("_ms", app_time_millis(field(1))), "_ms")
     status = F.when(F.col("_ms").isNotNull(), "ok").when(F.col("_pipes") >= 2, "bad_time").otherwise("no_match")
     fields = timed.select(
         "headers",

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.headers import header_get, header_put
+from logloom.functions.headers import header_get, header_put, headers_put
 from logloom.functions.text import short_host
 from logloom.functions.times import READABLE_ZONE, add_syslog_time, readable_time
 from logloom.operators.enrich import CUSTOMER_HEADER, HOST_HEADER, UNKNOWN
@@ -60,11 +60,13 @@ def parse_syslog(
         host = short_host(host)
     known = registry.select(F.col("host").alias("_host"), F.col("customer").alias("_customer"))
     joined = named.withColumn("_key", F.when(long_enough, host)).join(known, F.col("_key") == F.col("_host"), "left")
-    with_host = F.when(has_host, header_put(F.col("headers"), host_header, F.col("_name"))).otherwise(F.col("headers"))
-    found = joined.withColumn("_with_host", with_host)
-    customer = F.coalesce("_customer", F.lit(UNKNOWN))
-    headers = F.when(long_enough, header_put(F.col("_with_host"), customer_header, customer)).otherwise(F.col("headers"))
-    fields = found.select(
+    h, customer = F.col("headers"), F.coalesce("_customer", F.lit(UNKNOWN))
+    headers = (
+        F.when(~long_enough, h)
+        .when(has_host, headers_put(h, {host_header: F.col("_name"), customer_header: customer}))
+        .otherwise(header_put(h, customer_header, customer))
+    )
+    fields = joined.select(
         headers.alias("headers"),
         body.alias("original"),
         F.col("_ms").alias("timestamp"),

@@ -65,17 +65,15 @@ def avro_schema(kind: str, namespace: str | None = None) -> str:
     return json.dumps(record)
 
 
-def filled(value: Column, held: T.DataType, kind: T.DataType) -> Column:
-    """The value in the given type, with the type's default for null."""
-    if not isinstance(kind, T.MapType):
-        return F.coalesce(value.cast(kind), F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind))
-    if held.valueContainsNull:
-        value = F.transform_values(value, lambda _, v: F.coalesce(v, F.lit("")))
-    return F.coalesce(value, F.create_map().cast(kind))
+def filled(value: Column, kind: T.DataType) -> Column:
+    """The value in the given type, with the type's default for null. (Values inside headers are never null.)"""
+    if isinstance(kind, T.MapType):
+        return F.coalesce(value, F.create_map().cast(kind))
+    return F.coalesce(value.cast(kind), F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind))
 
 
 def conform(df: DataFrame, kind: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Select exactly the columns of a table kind, typed and with defaults filled in."""
     _, schema = TABLES[kind]
-    columns = [filled(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name) for f in schema]
+    columns = [filled(F.col(f.name), f.dataType).alias(f.name) for f in schema]
     return df.select(*columns, *extra)

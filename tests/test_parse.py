@@ -65,7 +65,7 @@ def test_access_log_types(spark):
     assert row.event_time == datetime(2013, 3, 1, 10, 23, 26)
     assert (row.bytesSend, row.bytesOut, row.timeMicro) == (None, 390, 55535)
     out = parse_access_log(events(spark, [({}, A2)])).drop("parse_status")
-    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in ACCESS]
+    assert [(f.name, f.dataType.typeName()) for f in out.schema] == [(f.name, f.dataType.typeName()) for f in ACCESS]
     assert not any(f.nullable for f in out.schema)
 
 
