@@ -7,7 +7,7 @@ dropped. Lines after the last terminator of a stream belong to no event.
 A stream may be far too long for one task, so it is never sorted or folded as a whole. Each block of
 lines is cut by itself into a head (up to its first terminator), whole events, and a tail (after its
 last one). Only heads and tails meet again, grouped by the event they belong to; which event that is
-follows from counting the blocks that hold a terminator. The text is shuffled once.
+follows from counting the blocks that hold a terminator. The text is shuffled once, by block.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.settle import settle
+
 # Fixed value: the default glue between the lines of an event.
 LINE_GLUE = " § "
 
@@ -28,29 +30,35 @@ def check_terminator(terminator: str) -> str:
 def cut_block(blocks: DataFrame, terminator: str) -> DataFrame:
     """Cut the array column ``lines`` of each row at its terminators.
 
-    Replaces it by ``head``, ``whole`` (array of ``index, lines`` with the index of the closing
-    line), ``tail``, ``head_end`` (index of the head's closing line, null when the block is open) and
-    ``closed``. Indexes start at 0.
+    ``at`` holds the positions of the lines. Both are replaced by ``head``, ``whole`` (array of
+    ``pos, lines``, with the position of the closing line), ``tail`` and ``tail_at`` (positions of the
+    tail's lines), ``head_end`` (position of the head's closing line, null when the block is open)
+    and ``closed``.
     """
     end_at = F.transform("lines", lambda line, i: F.when(line.endswith(terminator), i + 1))
-    marked = blocks.withColumn("ends", F.array_compact(end_at))
+    # Settled, as an array that is copied into the loops below would be built anew for every event.
+    marked = settle(blocks.withColumn("ends", F.array_compact(end_at)), "lines", "at", "ends")
     n_ends = F.size("ends")
     first, last = F.get("ends", F.lit(0)), F.get("ends", n_ends - 1)
-    closed = n_ends > 0
-    lines, ends = F.col("lines"), F.col("ends")
+    lines, at, ends = F.col("lines"), F.col("at"), F.col("ends")
     whole = F.transform(
         F.slice(ends, F.lit(2), F.greatest(n_ends - 1, F.lit(0))),
         lambda end, i: F.struct(
-            (end - 1).alias("index"), F.slice(lines, F.get(ends, i) + 1, end - F.get(ends, i)).alias("lines")
+            F.get(at, end - 1).alias("pos"), F.slice(lines, F.get(ends, i) + 1, end - F.get(ends, i)).alias("lines")
         ),
     )
-    nothing = F.array().cast("array<string>")
+    closed = n_ends > 0
+
+    def after_last(values: Column) -> Column:
+        return F.when(closed, F.slice(values, last + 1, F.size(lines) - last)).otherwise(F.slice(values, F.lit(1), F.lit(0)))
+
     return (
         marked.withColumn("closed", closed)
         .withColumn("head", F.when(closed, F.slice(lines, F.lit(1), first)).otherwise(lines))
-        .withColumn("head_end", first - 1)
+        .withColumn("head_end", F.get(at, first - 1))
         .withColumn("whole", whole)
-        .withColumn("tail", F.when(closed, F.slice(lines, last + 1, F.size(lines) - last)).otherwise(nothing))
+        .withColumn("tail", after_last(lines))
+        .withColumn("tail_at", after_last(at))
         .drop("lines", "ends")
     )
 
@@ -78,13 +86,14 @@ def _cut_lines(lines: DataFrame, terminator: str) -> DataFrame:
     )
 
 
-def _event_numbers(blocks: DataFrame) -> DataFrame:
+def _event_numbers(lines: DataFrame, terminator: str) -> DataFrame:
     """Per block: how many earlier blocks of its stream hold a terminator, and how many hold one in all.
 
-    A prefix sum in two steps, inside parts and over parts, on one small row per block.
+    Counted on the lines themselves, where it needs no shuffle of the text, and summed up in two
+    steps, inside parts and over parts, on one small row per block.
     """
-    marks = blocks.select("stream", "part", "block", F.col("closed").cast("bigint").alias("closes"))
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.coalesce(F.col("line").endswith(terminator), F.lit(False)).cast("bigint")
+    marks = lines.groupBy("stream", "part", "block").agg(F.max(ends).alias("closes"))
     in_part = Window.partitionBy("stream", "part").orderBy("block")
     inner = marks.withColumn(
         "inside", F.coalesce(F.sum("closes").over(in_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -111,45 +120,34 @@ def _event_numbers(blocks: DataFrame) -> DataFrame:
     )
 
 
-def _edges(blocks: DataFrame) -> DataFrame:
+def _edges(blocks: DataFrame, numbers: DataFrame) -> DataFrame:
     """Heads and tails of all blocks with the number of the event they belong to.
 
     Rows whose number reaches ``total`` belong to no event: their stream has no terminator after them.
     """
-    size = F.size("head")
-    head = F.struct(
-        F.lit(0).alias("piece"), F.col("head").alias("lines"), F.get("at", "head_end").alias("end"),
-        F.slice("at", F.lit(1), size).alias("at"),
-    )
-    tail = F.struct(
-        F.lit(1).alias("piece"), F.col("tail").alias("lines"), F.lit(None).cast("bigint").alias("end"),
-        F.slice("at", F.size("at") - F.size("tail") + 1, F.size("tail")).alias("at"),
-    )
+    head_at = F.slice("at", F.lit(1), F.size("head"))
+    head = F.struct(F.lit(0).alias("piece"), F.col("head").alias("lines"), F.col("head_end").alias("end"), head_at.alias("at"))
+    no_end = F.lit(None).cast("bigint")
+    tail = F.struct(F.lit(1).alias("piece"), F.col("tail").alias("lines"), no_end.alias("end"), F.col("tail_at").alias("at"))
     pieces = blocks.select("stream", "part", "block", F.inline(F.array(head, tail)))
     # Null-safe equality throughout: a plain one would push a not-null filter below the shuffle of the
-    # text on this side only, and the other readers of the blocks could then not share that shuffle.
+    # text on this side only, and the two readers of the blocks could then not share that shuffle.
     same = (
         F.col("stream").eqNullSafe(F.col("s"))
         & F.col("part").eqNullSafe(F.col("p"))
         & F.col("block").eqNullSafe(F.col("b"))
     )
-    return (
-        pieces.where(F.size("lines") > 0)
-        .join(_event_numbers(blocks), same)
-        .withColumn("number", F.col("number") + F.col("piece"))
-        .drop("s", "p", "b")
-    )
+    joined = pieces.where(F.size("lines") > 0).join(numbers, same)
+    return joined.withColumn("number", F.col("number") + F.col("piece")).drop("s", "p", "b")
 
 
 def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) -> DataFrame:
     """Events of a lines frame: ``stream, part, block, pos`` of the closing line, ``body``, ``n_lines``."""
     blocks = _cut_lines(lines, check_terminator(terminator))
-    inside = blocks.select("stream", "part", "block", "at", F.inline("whole")).select(
-        "stream", "part", "block", F.get("at", "index").alias("pos"), "lines", F.lit(False).alias("leading")
-    )
+    inside = blocks.select("stream", "part", "block", F.inline("whole")).withColumn("leading", F.lit(False))
     piece = F.struct("part", "block", "piece", "end", "lines")
     crossing = (
-        _edges(blocks)
+        _edges(blocks, _event_numbers(lines, terminator))
         .where(F.col("number") < F.col("total"))
         .groupBy("stream", "number")
         .agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
@@ -168,7 +166,8 @@ def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) ->
 
 def unterminated_lines(lines: DataFrame, terminator: str) -> DataFrame:
     """Lines after the last terminator of their stream, which no event holds: ``stream, part, block, pos, line``."""
-    edges = _edges(_cut_lines(lines, check_terminator(terminator))).where(F.col("number") >= F.col("total"))
+    numbers = _event_numbers(lines, check_terminator(terminator))
+    edges = _edges(_cut_lines(lines, terminator), numbers).where(F.col("number") >= F.col("total"))
     zipped = F.arrays_zip(F.col("at").alias("pos"), F.col("lines").alias("line"))
     return edges.select("stream", "part", "block", F.inline(zipped)).toDF("stream", "part", "block", "pos", "line")
 

@@ -65,12 +65,10 @@ def assemble_stream(
     * ``late``: edge lines of a chunk that came after a later one was handled;
     * ``unclosed``: lines of an event that grew beyond ``max_open_lines`` (no limit by default).
     """
-    named = chunks.select(F.col("stream").cast("string").alias("stream"), "chunk", "lines")
+    index = F.transform("lines", lambda _, i: i.cast("bigint"))
+    named = chunks.select(F.col("stream").cast("string").alias("stream"), "chunk", "lines", index.alias("at"))
     cut = cut_block(named, check_terminator(terminator))
-    inside = cut.select("stream", "chunk", F.inline("whole")).select(
-        "stream", "chunk", F.col("index").cast("bigint").alias("pos"), "lines",
-        F.lit(False).alias("leading"), F.lit("event").alias("status"),
-    )
+    inside = cut.select("stream", "chunk", F.inline("whole"), F.lit(False).alias("leading"), F.lit("event").alias("status"))
     edges = cut.select("stream", "chunk", "head", "head_end", "tail", "closed")
     joined = edges.groupBy("stream").applyInPandasWithState(
         edge_folder(max_open_lines), PIECES, STATE, "append", GroupStateTimeout.NoTimeout

@@ -75,12 +75,13 @@ def test_random_streams_match_the_loop(spark, bits):
 
 
 def test_one_text_shuffle(spark):
-    """All readers of the blocks share one shuffle of the text."""
+    """Both readers of the blocks share one shuffle of the text; counting terminators shuffles none."""
     lines = as_lines(spark, {"s": ["a", "b#", "", "c"] * 50}, 2, 4)
     events = assemble_events(lines, "#")
     events.collect()
     plan = events._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("Scan ExistingRDD") == 1
+    assert plan.count("partial_collect_list(struct(pos") == 1 and "ReusedExchange" in plan
+    assert plan.count("Scan ExistingRDD") == 2
 
 
 def test_files_over_many_splits(spark, tmp_path):
