@@ -1,0 +1,28 @@
+"""Registered queries against their SQL, on the smallest tables."""
+
+import os
+from pathlib import Path
+
+import pytest
+from check_oracles import compare, connect
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+# A few of each kind; check_oracles.py runs them all.
+SAMPLE = ["s1_files_to_events", "s4_separator_blanks", "s10_restart", "e4_syslog_customer", "e7_statics_overwrite",
+          "p2_access_log", "p3_app_log", "p5_year_repair", "p9_rejects", "k7_by_customer"]
+
+
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", SAMPLE)
+def test_query(spark, name):
+    assert compare(spark, connect(SF_DIR), SF_DIR, name) == []
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0
