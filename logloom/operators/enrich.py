@@ -19,12 +19,10 @@ from logloom.sources.lines import read_lines
 
 log = logging.getLogger(__name__)
 
-# Default header names, default file paths, and the name for hosts of no customer.
+# Default header names, and the name for hosts of no customer.
 HOST_HEADER = "host"
 CUSTOMER_HEADER = "customer"
 UNKNOWN = "UNKNOWN"
-REGISTRY_PATH = "/etc/flume-ng/conf/customerhosts.conf"
-STATICS_PATH = "/etc/flume-ng/conf/statics.conf"
 
 # Static pairs are copied into every event, so a file with more keys than this is refused.
 MAX_STATIC_KEYS = 10_000
@@ -65,7 +63,7 @@ def registry_from_lines(lines: DataFrame) -> DataFrame:
 
 
 def load_registry(
-    spark: SparkSession, path: str = REGISTRY_PATH, charset: str = "UTF-8", missing_ok: bool = False
+    spark: SparkSession, path: str, charset: str = "UTF-8", missing_ok: bool = False
 ) -> DataFrame:
     """Read the registry file. With ``missing_ok`` a missing file makes every host unknown."""
     lines = _lines_or_none(spark, path, charset)
@@ -125,7 +123,7 @@ def static_pairs(lines: DataFrame) -> DataFrame:
     )
 
 
-def load_static_pairs(spark: SparkSession, path: str = STATICS_PATH, charset: str = "UTF-8") -> DataFrame | None:
+def load_static_pairs(spark: SparkSession, path: str, charset: str = "UTF-8") -> DataFrame | None:
     """Read a static file; None with a warning when it is missing."""
     lines = _lines_or_none(spark, path, charset)
     if lines is None:
