@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from model import assemble
@@ -84,6 +85,14 @@ def test_one_text_shuffle(spark):
     assert plan.count("Scan ExistingRDD") == 2
 
 
+def test_full_blocks_take_linear_time(spark):
+    """Copying a block for each of its events would take minutes here."""
+    lines = number_lines(spark.range(1 << 17).select(F.lit("s").alias("stream"), F.col("id").alias("pos"), F.lit("x#").alias("line")))
+    start = time.monotonic()
+    assert assemble_events(lines, "#").agg(F.sum("n_lines")).first()[0] == 1 << 17
+    assert time.monotonic() - start < 60
+
+
 def test_files_over_many_splits(spark, tmp_path):
     rng = random.Random(3)
     expected = {}

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from logloom.functions import headers as H
@@ -136,6 +138,33 @@ def test_static_lines(spark, lines, pairs, bad):
     assert [r.stop.pos for r in stops] == ([] if bad is None else [bad])
 
 
+def read_statics(lines):
+    pairs = []
+    for line in lines:
+        parts = line.split("=")
+        while parts and parts[-1] == "":
+            parts.pop()
+        if len(parts) < 2:
+            break
+        pairs.append((parts[0], parts[1]))
+    return pairs
+
+
+def test_random_static_files(spark):
+    rng = random.Random(17)
+    files = {
+        f"f{i}": ["".join(rng.choice("ab=") for _ in range(rng.randrange(1, 7))) + rng.choice(["=v", "=v", "=v", ""]) for _ in range(12)]
+        for i in range(120)
+    }
+    rows = [(name, at, line) for name, lines in files.items() for at, line in enumerate(lines)]
+    rng.shuffle(rows)
+    frame = number_lines(spark.createDataFrame(rows, "stream string, pos bigint, line string"), 1, 2)
+    got = {name: [] for name in files}
+    for row in static_pairs(frame).orderBy("stream", "pos").collect():
+        got[row.stream].append((row.key, row.value))
+    assert got == {name: read_statics(lines) for name, lines in files.items()}
+
+
 def test_no_pairs_at_all(spark):
     merged = add_statics(events(spark, {"env": "test"}), static_pairs(one_stream(spark, ["bad"])))
     assert headers_of(merged) == [{"env": "test"}]

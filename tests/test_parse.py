@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -97,6 +98,24 @@ def test_app_log(spark):
     assert rows[bodies[7]].message.endswith("at x § ")
 
 
+def walk_pipes(body):
+    """Fields of an application-log body, taken one by one from the left."""
+    fields, rest = {}, body.partition("|")[2] if "|" in body else body
+    for name in ("datetime", "loglevel", "appservername", "classname", "thread"):
+        value, pipe, after = rest.partition("|")
+        fields[name] = value if pipe else ""
+        rest = after if pipe else rest
+    return fields | {"datetime": "", "message": rest.partition("|")[0]}
+
+
+def test_app_log_random_pipes(spark):
+    rng = random.Random(13)
+    bodies = {"".join(rng.choice("ab||# é") for _ in range(rng.randrange(24))) for _ in range(600)}
+    rows = parsed(parse_app_log(events(spark, [({}, body) for body in bodies])))
+    got = {body: {name: row[name] for name in walk_pipes("")} for body, row in rows.items()}
+    assert got == {body: walk_pipes(body) for body in bodies}
+
+
 APP_TIMES = {
     "2013-03-01T11:23:50.765+0100": 1362133430765,
     "2013-03-01T11:23:50.765+01:00": 1362133430765,
