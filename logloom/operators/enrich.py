@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.headers import header_get, header_put, merge_keep, merge_overwrite, no_headers
 from logloom.functions.text import short_host, trim_controls
-from logloom.sources.lines import read_lines
+from logloom.sources.lines import read_whole_files
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +32,7 @@ REGISTRY_LINE = r"\A(.*):(.*)\z"
 
 def _lines_or_none(spark: SparkSession, path: str, charset: str) -> DataFrame | None:
     try:
-        return read_lines(spark, path, charset)
+        return read_whole_files(spark, path, charset)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -138,7 +138,9 @@ def fold_pairs(pairs: DataFrame, preserve_existing: bool) -> DataFrame:
     chosen = pairs.groupBy("key").agg(pick("value", F.struct("stream", "part", "block", "pos")).alias("value"))
     entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value"))))
     too_many = F.raise_error(F.lit(f"static pairs: more than {MAX_STATIC_KEYS} keys")).cast("map<string,string>")
-    return chosen.agg(F.when(F.count(F.lit(1)) > MAX_STATIC_KEYS, too_many).otherwise(entries).alias("statics"))
+    # One row more than allowed is enough to see that there are too many, and all that one task then holds.
+    bounded = chosen.limit(MAX_STATIC_KEYS + 1)
+    return bounded.agg(F.when(F.count(F.lit(1)) > MAX_STATIC_KEYS, too_many).otherwise(entries).alias("statics"))
 
 
 def add_statics(events: DataFrame, pairs: DataFrame | None, preserve_existing: bool = True) -> DataFrame:

@@ -46,9 +46,10 @@ def read_lines(
     its own. Files are cut into splits as usual: the row id rises inside a split, so (file, start of
     the split, row id) is the order of the file, whichever task reads which split.
     """
-    stream = stream_of or (lambda file: file)
     if charset.upper().startswith(("UTF-16", "UTF-32")):
-        return _read_wide_lines(spark, path, charset, stream, block_bits)
+        # Two- and four-byte charsets cannot be cut at a newline byte.
+        return read_whole_files(spark, path, charset, stream_of, block_bits)
+    stream = stream_of or (lambda file: file)
     row = F.monotonically_increasing_id()
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -65,8 +66,14 @@ def read_lines(
     )
 
 
-def _read_wide_lines(spark: SparkSession, path, charset: str, stream, block_bits: int) -> DataFrame:
-    # Two- and four-byte charsets cannot be cut at a newline byte, so such a file is one record.
+def read_whole_files(
+    spark: SparkSession, path: str | list[str], charset: str = "UTF-8", stream_of=None, block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """Lines of files that are read in one piece each: lookup files, and charsets that cannot be split.
+
+    Unlike :func:`read_lines` it may stand on the static side of a streaming join.
+    """
+    stream = stream_of or (lambda file: file)
     paths = [path] if isinstance(path, str) else path
     files = spark.read.format("binaryFile").load(paths)
     text = files.select(F.col("path").alias("file"), decode_bytes(F.col("content"), charset).alias("text"))

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from logloom.functions import headers as H
+from logloom.operators import enrich
 from logloom.operators.enrich import (
     add_customer, add_statics, first_bad_static, load_registry, load_static_pairs, registry_from_lines, static_pairs,
 )
@@ -170,6 +171,15 @@ def test_no_pairs_at_all(spark):
     assert headers_of(merged) == [{"env": "test"}]
 
 
+def test_too_many_static_keys(spark, monkeypatch):
+    pairs = static_pairs(one_stream(spark, ["a=1", "b=2", "b=3", "c=4"]))
+    monkeypatch.setattr(enrich, "MAX_STATIC_KEYS", 3)
+    assert headers_of(add_statics(events(spark, {}), pairs)) == [{"a": "1", "b": "2", "c": "4"}]
+    monkeypatch.setattr(enrich, "MAX_STATIC_KEYS", 2)
+    with pytest.raises(Exception, match="more than 2 keys"):
+        headers_of(add_statics(events(spark, {}), pairs))
+
+
 def test_header_functions(spark):
     h = F.col("headers")
     row = events(spark, {"a": "1"}).select(

@@ -1,11 +1,13 @@
 import random
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from model import assemble
 from pyspark.sql import functions as F
 
-from logloom.operators.enrich import add_customer, load_registry
+from logloom.operators.enrich import add_customer, add_statics, load_registry, load_static_pairs
+from logloom.operators.syslog import parse_syslog
 from logloom.sources.lines import read_chunk_stream
 from logloom.streaming.assemble import assemble_stream
 from logloom.streaming.jobs import append_refreshed, append_to, count_stream_events
@@ -91,3 +93,22 @@ def test_registry_refresh(spark, tmp_path, again):
         append_refreshed(source, enrich, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("batch").select("headers.customer").collect()
     assert [row.customer for row in got] == (["one", "two"] if again else ["one", "one"])
+
+
+def test_lookups_on_a_stream(spark, tmp_path):
+    """The batch functions for syslog, customers and static pairs take a streaming frame as it is."""
+    (tmp_path / "registry").write_text("shop:web1\n")
+    (tmp_path / "statics").write_text("dc=ams\nhost=no\n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("Mar  1 11:23:24 web1 hello\nshort\n")
+    lines = spark.readStream.text(str(tmp_path / "in"))
+    events = lines.select(F.create_map(F.lit("host"), F.lit("WEB1.example.com")).alias("headers"), F.col("value").alias("body"))
+    registry = load_registry(spark, str(tmp_path / "registry"))
+    pairs = load_static_pairs(spark, str(tmp_path / "statics"))
+    table = parse_syslog(add_statics(add_customer(events, registry), pairs), registry, datetime(2013, 3, 2))
+    append_to(table, str(tmp_path / "out" / "events"), str(tmp_path / "out" / "cp"), available_now=True).awaitTermination()
+    got = {row.original: (row.headers, row.message) for row in spark.read.parquet(str(tmp_path / "out" / "events")).collect()}
+    assert got == {
+        "Mar  1 11:23:24 web1 hello": ({"host": "web1", "customer": "shop", "dc": "ams"}, "hello"),
+        "short": ({"host": "WEB1.example.com", "customer": "shop", "dc": "ams"}, ""),
+    }
