@@ -123,7 +123,7 @@ def _event_numbers(lines: DataFrame, terminator: str) -> DataFrame:
 def _edges(blocks: DataFrame, numbers: DataFrame) -> DataFrame:
     """Heads and tails of all blocks with the number of the event they belong to.
 
-    Rows whose number reaches ``total`` belong to no event: their stream has no terminator after them.
+    Rows that are not ``in_event`` belong to none: their stream has no terminator after them.
     """
     head_at = F.slice("at", F.lit(1), F.size("head"))
     head = F.struct(F.lit(0).alias("piece"), F.col("head").alias("lines"), F.col("head_end").alias("end"), head_at.alias("at"))
@@ -137,8 +137,14 @@ def _edges(blocks: DataFrame, numbers: DataFrame) -> DataFrame:
         & F.col("part").eqNullSafe(F.col("p"))
         & F.col("block").eqNullSafe(F.col("b"))
     )
-    joined = pieces.where(F.size("lines") > 0).join(numbers, same)
-    return joined.withColumn("number", F.col("number") + F.col("piece")).drop("s", "p", "b")
+    joined = pieces.where(F.size("lines") > 0).join(numbers, same, "left")
+    # The lines are read twice, for the text and for the numbers. Should a source not give the same
+    # blocks both times, fail rather than lose an event.
+    unknown = F.raise_error(F.lit("assembly: the lines changed while they were read")).cast("boolean")
+    number = F.col("number") + F.col("piece")
+    in_event = F.when(F.col("total").isNull(), unknown).otherwise(number < F.col("total"))
+    placed = joined.withColumn("in_event", in_event).withColumn("number", number)
+    return settle(placed, "number", "in_event").drop("s", "p", "b", "total")
 
 
 def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) -> DataFrame:
@@ -148,7 +154,7 @@ def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) ->
     piece = F.struct("part", "block", "piece", "end", "lines")
     crossing = (
         _edges(blocks, _event_numbers(lines, terminator))
-        .where(F.col("number") < F.col("total"))
+        .where("in_event")
         .groupBy("stream", "number")
         .agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
         .withColumn("close", F.element_at("pieces", -1))
@@ -167,7 +173,7 @@ def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) ->
 def unterminated_lines(lines: DataFrame, terminator: str) -> DataFrame:
     """Lines after the last terminator of their stream, which no event holds: ``stream, part, block, pos, line``."""
     numbers = _event_numbers(lines, check_terminator(terminator))
-    edges = _edges(_cut_lines(lines, terminator), numbers).where(F.col("number") >= F.col("total"))
+    edges = _edges(_cut_lines(lines, terminator), numbers).where("NOT in_event")
     zipped = F.arrays_zip(F.col("at").alias("pos"), F.col("lines").alias("line"))
     return edges.select("stream", "part", "block", F.inline(zipped)).toDF("stream", "part", "block", "pos", "line")
 

@@ -93,6 +93,14 @@ def test_full_blocks_take_linear_time(spark):
     assert time.monotonic() - start < 60
 
 
+def test_changing_source_fails(spark):
+    lines = as_lines(spark, {"s": ["a", "b#", "c", "d#"] * 20}, 2, 4)
+    anything = F.udf(lambda: random.SystemRandom().randrange(1 << 30), "bigint").asNondeterministic()
+    shaky = lines.withColumn("block", F.col("block") + anything())
+    with pytest.raises(Exception, match="lines changed"):
+        assemble_events(shaky, "#").collect()
+
+
 def test_files_over_many_splits(spark, tmp_path):
     rng = random.Random(3)
     expected = {}
