@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="logloom-")
-        spark.sparkContext.setCheckpointDir(base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return base.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder of its own for one run."""
+    """A fresh folder of its own for one run; give it to ``remove_folder`` when its tables are no longer read."""
     return f"{shared_folder(spark)}/logloom/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``new_folder`` named."""
+    if "/logloom/" not in folder:
+        raise ValueError(f"not a working folder: {folder}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written to a working folder and read back: later plans start from the files."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
