@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -97,9 +100,8 @@ def mix_sources(documents: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sh
     """Copies per document such that each source's words come near its target.
 
     Returns doc_id, source, size (words; null text: 0), source_size, target, copies (0 to ``most``, at least) and taken
-    (copies * size), one row per row of ``documents``. Rates are rounded by systematic sampling over
-    (source, size) in order of size: the whole copies of a cell follow from the running sum of rates, so that a source misses
-    its target by about one document. Which documents of a cell get the further copy is decided by a hash of id and text, in
+    (copies * size), one row per row of ``documents``. Rates are rounded over the (source, size) cells of a source, from the largest size down,
+    and what one cell misses is made good by the next, so that a source misses its target by about its smallest document. Which documents of a cell get the further copy is decided by a hash of id and text, in
     buckets of about 4,096 documents, and so is the same in every run. Rows alike in id and text are interchangeable.
     A source without words has target 0.
     """
@@ -113,13 +115,8 @@ def _mixed(documents: DataFrame, weights: tuple[float, ...], share: float, most:
     tilts = balance(cells, targets, most)
     rate = F.when(F.col("scale").isNull(), F.lit(0.0)).otherwise(_rate(F.col("tilt"), F.col("size"), F.col("scale"), most))
     rate = F.when(F.col("size") == 0, F.lit(0.0)).when(F.col("tilt") == float("inf"), F.lit(float(most))).otherwise(rate)
-    rated = _same_source(cells, tilts, "left").withColumn("_whole", F.floor(rate + 1e-12)).withColumn(
-        "_part", F.greatest(rate - F.col("_whole"), F.lit(0.0)) * F.col("n"))
-    by_size = Window.partitionBy("source").orderBy("size")
-    upto = F.floor(F.sum("_part").over(by_size.rowsBetween(Window.unboundedPreceding, 0)) + 0.5)
-    rated = rated.withColumn("_upto", upto)
-    extra = F.greatest(F.least(F.col("_upto") - F.coalesce(F.lag("_upto").over(by_size), F.lit(0)), F.col("n")), F.lit(0))
-    rated = rated.select("source", "size", "n", F.col("_whole"), extra.alias("_extra"))
+    rated = _same_source(cells, tilts, "left").select("source", "size", "n", rate.alias("rate"))
+    rated = rated.groupBy("source").applyInPandas(lambda cells: _whole_copies(cells, most), "source string, size long, n long, _whole long, _extra long")
     rated = saved(_same_source(rated, targets), "mix-rates")
     joined = _by_cell(sized, rated).withColumn("_bucket", F.pmod("_tie", F.ceil(F.col("n") / CELL)))
     counts = joined.groupBy("source", "size", "_bucket").agg(F.count(F.lit(1)).alias("_in"), F.max("_extra").alias("_of"))
@@ -139,6 +136,24 @@ def _mixed(documents: DataFrame, weights: tuple[float, ...], share: float, most:
     return out.select(*columns, F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def _whole_copies(cells: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Copies of each cell of one source, as whole copies of all its documents and of how many one more.
+
+    Cells come in falling size, and what a cell takes too much or too little goes on to the next. One row per distinct size.
+    """
+    cells = cells.sort_values("size", ascending=False)
+    carried, whole, extra = 0.0, [], []
+    for size, n, rate in zip(cells["size"].tolist(), cells["n"].tolist(), cells["rate"].tolist()):
+        base = min(math.floor(rate + 1e-12), most)
+        carried += n * (rate - base) * size
+        more = round(carried / size) if size else 0
+        more = min(max(more, 0), n if base < most else 0)
+        carried -= more * size
+        whole.append(base)
+        extra.append(more)
+    return pd.DataFrame({"source": cells["source"], "size": cells["size"], "n": cells["n"], "_whole": whole, "_extra": extra})
+
+
 def _by_cell(sized: DataFrame, rated: DataFrame) -> DataFrame:
     rated = rated.withColumnRenamed("source", "_s").withColumnRenamed("size", "_z")
     return sized.join(rated, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))).drop("_s", "_z")

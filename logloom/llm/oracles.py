@@ -54,9 +54,9 @@ again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS
 repeats AS (SELECT r, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n_repeat_words FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM again) GROUP BY r),
 line_rows AS (SELECT doc_id, source, regexp_replace(translate(trim(regexp_replace(x, {_BLANKS}, ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS line
   FROM (SELECT doc_id, source, unnest(lines) AS x FROM docs)),
-line_docs AS (SELECT doc_id, source, line, count(*) * (length(line) - length(replace(line, ' ', '')) + 1) AS words FROM line_rows GROUP BY ALL),
+line_docs AS (SELECT doc_id, source, line, count(*) * (length(line) - length(replace(line, ' ', '')) + 1) AS words FROM line_rows GROUP BY doc_id, source, line),
 hosts AS (SELECT source, count(DISTINCT doc_id) AS n_docs FROM line_docs GROUP BY source),
-common AS (SELECT source, line FROM (SELECT source, line, count(*) AS n FROM line_docs GROUP BY ALL) JOIN hosts USING (source) WHERE n > 100 AND n > 0.01 * n_docs),
+common AS (SELECT source, line FROM (SELECT source, line, count(*) AS n FROM line_docs GROUP BY source, line) JOIN hosts USING (source) WHERE n > 100 AND n > 0.01 * n_docs),
 removed AS (SELECT doc_id, sum(words) AS removed FROM line_docs JOIN common USING (source, line) GROUP BY doc_id),
 rules AS (
   SELECT doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, {_BLANKS}, '', 'g'))::BIGINT AS word_chars,
