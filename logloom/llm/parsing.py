@@ -99,7 +99,7 @@ def suffix_groups(strings: np.ndarray, docs: np.ndarray) -> np.ndarray:
     The strings are suffixes of phrases cut at LENGTH bytes. They are put in order, and those whose common prefix with the one before is
     LENGTH bytes long are equal.
     """
-    order = np.argsort(strings, kind="stable")
+    order = np.argsort(strings)
     ordered = strings[order]
     firsts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     least = np.minimum.reduceat(docs[order], firsts)

@@ -147,6 +147,24 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.Record
         yield _one(held)
 
 
+def _whole_shards(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Rows of several whole shards (equal key and part) together, ``least`` rows at least but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) < least:
+            continue
+        rows = _one(held)
+        key, part = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+        change = np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1]))
+        if len(change):
+            yield rows.slice(0, change[-1] + 1)
+            rows = rows.slice(change[-1] + 1)
+        held = [rows]
+    if held and (rows := _one(held)).num_rows:
+        yield rows
+
+
 def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
@@ -157,11 +175,11 @@ def _with_packs(packs: DataFrame, news: DataFrame, how: str = "inner") -> DataFr
     return packs.hint("merge").join(gathered.hint("merge"), "pack", how).select("pack", "blob", "news")
 
 
-def _per_pack(step: Callable[[int, Pack, list], pa.RecordBatch]) -> Callable:
+def _per_pack(step: Callable[[int, Pack, pa.Array | None], pa.RecordBatch]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, blob, news in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                yield step(pack, Pack(blob.as_py()), news.as_py() or [])
+                yield step(pack, Pack(blob.as_py()), news.values)
 
     return run
 
@@ -169,9 +187,9 @@ def _per_pack(step: Callable[[int, Pack, list], pa.RecordBatch]) -> Callable:
 def shared_phrases(packs: DataFrame, shared: DataFrame) -> DataFrame:
     """key, phrase (hash), doc, pack, place of each phrase whose trigger occurs in several documents."""
 
-    def step(number: int, pack: Pack, news: list) -> pa.RecordBatch:
+    def step(number: int, pack: Pack, news: pa.Array | None) -> pa.RecordBatch:
         at, n, keys, docs = pack.phrases()
-        wanted = np.isin(keys, _from_bytes(b"".join(news)))
+        wanted = np.isin(keys, _from_bytes(b"".join(news.to_pylist())))
         at, n, keys, docs = at[wanted], n[wanted], keys[wanted], docs[wanted]
         digest, buffer = xxhash.xxh64_intdigest, pack.buffer
         hashes = np.array([digest(buffer[a:b]) for a, b in zip(at.tolist(), (at + n + LENGTH - 1).tolist())], dtype=np.uint64)
@@ -189,19 +207,21 @@ def phrase_strings(packs: DataFrame, chosen: DataFrame) -> DataFrame:
     A key with more than SHARD phrases is split by the strings themselves, each a row of its own; other phrases are one row.
     """
 
-    def step(number: int, pack: Pack, news: list) -> pa.RecordBatch:
-        rows = []
-        for x in news:
-            at, n = divmod(x["place"], _SPAN)
-            whole = pack.buffer[at : at + n + LENGTH - 1]
-            if x["parts"] == 1:
-                rows.append((x["key"], 0, x["phrase"], x["doc"], 0, whole))
-            else:
-                strings = [whole[i : i + LENGTH] for i in range(n)]
-                rows += [(x["key"], xxhash.xxh32_intdigest(s) % x["parts"], x["phrase"], x["doc"], i, s) for i, s in enumerate(strings)]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        columns = list(zip(*rows)) or [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "part", "phrase", "doc", "first", "bytes"])
+    def step(number: int, pack: Pack, news: pa.Array | None) -> pa.RecordBatch:
+        keys, phrases, docs, places, parts = (news.field(k).to_numpy(zero_copy_only=False) for k in range(5))
+        at, n = places // _SPAN, places % _SPAN
+        buffer, whole = pack.buffer, np.flatnonzero(parts == 1)
+        rows = [whole, np.zeros(len(whole), np.int64), np.zeros(len(whole), np.int64), [buffer[a:b] for a, b in zip(at[whole].tolist(), (at + n + LENGTH - 1)[whole].tolist())]]
+        split = np.flatnonzero(parts > 1)
+        each = np.repeat(split, n[split])
+        first = np.arange(len(each)) - np.repeat(np.cumsum(n[split]) - n[split], n[split])
+        strings = [buffer[a : a + LENGTH] for a in (at[each] + first).tolist()]
+        digest = xxhash.xxh32_intdigest
+        part = np.fromiter((digest(s) for s in strings), np.int64, len(strings)) % np.maximum(parts[each], 1)
+        row, part, first = (np.concatenate(c) for c in ((rows[0], each), (rows[1], part), (rows[2], first)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys[row]), pa.array(part.astype(np.int32)), pa.array(phrases[row]), pa.array(docs[row]), pa.array(first.astype(np.int32)), pa.array(rows[3] + strings, pa.binary())],
+            ["key", "part", "phrase", "doc", "first", "bytes"])
 
     news = F.struct("key", "phrase", "doc", "place", "parts").alias("news")
     return _with_packs(packs, chosen.select("pack", news)).mapInArrow(_per_pack(step), "key long, part int, phrase long, doc long, first int, bytes binary")
@@ -211,15 +231,17 @@ def covered_windows(strings: DataFrame) -> DataFrame:
     """key, phrase and mask: bit i is set where window i of the phrase equals a string of a phrase that a smaller document has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _runs(batches, 2):
+        for rows in _whole_shards(batches, 16_384):
             texts = rows.column(5).to_pylist()
-            sizes = np.array([len(t) - LENGTH + 1 for t in texts])
-            windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(t, np.uint8), LENGTH) for t in texts])
-            docs = np.repeat(rows.column(3).to_numpy(), sizes)
-            covered = suffix_groups(np.ascontiguousarray(windows).view(f"S{LENGTH}").reshape(-1), docs)
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            sizes = lengths - LENGTH + 1
             starts = np.cumsum(sizes) - sizes
-            bit = np.arange(len(docs)) - np.repeat(starts, sizes) + np.repeat(rows.column(4).to_numpy(), sizes)
-            masks = np.add.reduceat(np.where(covered, np.int64(1) << bit.astype(np.int64), 0), starts)
+            inside = np.arange(sizes.sum()) - np.repeat(starts, sizes)
+            place = np.repeat(np.cumsum(lengths) - lengths, sizes) + inside
+            windows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b"".join(texts), np.uint8), LENGTH)[place]
+            covered = suffix_groups(windows.view(f"S{LENGTH}").reshape(-1), np.repeat(rows.column(3).to_numpy(), sizes))
+            bit = inside + np.repeat(rows.column(4).to_numpy(), sizes)
+            masks = np.add.reduceat(np.where(covered, np.int64(1) << bit, 0), starts)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array(masks)], ["key", "phrase", "mask"]).filter(pa.array(masks != 0))
 
     ordered = strings.repartition("key", "part").sortWithinPartitions("key", "part")
@@ -236,20 +258,16 @@ def removed_spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[firsts], np.maximum.reduceat(reach, firsts)], axis=1)
 
 
-def _kept(pack: Pack, news: list) -> list[tuple]:
+def _kept(pack: Pack, news: pa.Array | None) -> list[tuple]:
     """(doc_id, bytes, removed, spans, kept bytes) of each document."""
-    starts, ends = [], []
-    for x in news:
-        at, n = divmod(x["place"], _SPAN)
-        mask = x["mask"] & ((1 << n) - 1)
-        while mask:
-            low = (mask & -mask).bit_length() - 1
-            run = (~(mask >> low) & ((mask >> low) + 1)).bit_length() - 1
-            starts.append(at + low)
-            ends.append(at + low + run - 1)
-            mask &= ~(((1 << run) - 1) << low)
-    order = np.argsort(starts, kind="stable") if starts else np.zeros(0, np.int64)
-    starts, ends = np.array(starts, np.int64)[order], np.array(ends, np.int64)[order]
+    places, masks = (news.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)) if news is not None else (np.zeros(0, np.int64),) * 2
+    at, n = places // _SPAN, places % _SPAN
+    parts = masks != -1
+    bits = np.flatnonzero((masks[parts][:, None] >> np.arange(_SPAN - 1)) & 1)
+    single = at[parts][bits // (_SPAN - 1)] + bits % (_SPAN - 1)
+    starts, ends = np.concatenate([at[~parts], single]), np.concatenate([(at + n - 1)[~parts], single])
+    order = np.argsort(starts, kind="stable")
+    starts, ends = starts[order], ends[order]
     doc = np.searchsorted(pack.ends, starts, side="right")
     bounds = np.searchsorted(doc, np.arange(len(pack.ends) + 1))
     out, begin = [], 0
@@ -277,7 +295,8 @@ def repeat_decisions(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = F.ceil(F.col("_n") / SHARD).cast("int").alias("parts")
     chosen = dictionary.join(variants, "key").select("key", "phrase", "at.*", parts)
     masks = saved(covered_windows(phrase_strings(packs, chosen)), "windows")
-    known = dictionary.select("key", "phrase", F.col("at.doc").alias("_least")).join(masks, ["key", "phrase"], "left")
+    # Written, so that a phrase that very many documents hold can be split where the parse is joined.
+    known = saved(dictionary.select("key", "phrase", F.col("at.doc").alias("_least")).join(masks, ["key", "phrase"], "left"), "known")
     mask = F.when(F.col("doc") > F.col("_least"), F.lit(-1)).otherwise(F.coalesce("mask", F.lit(0))).cast("long")
     decided = parse.join(known, ["key", "phrase"]).select("pack", "place", mask.alias("mask")).where("mask <> 0")
     return packs, decided
@@ -290,7 +309,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     looked up in the texts as they came. Rows that share a doc_id do not remove anything from one another; a null doc_id is
     larger than all others.
     """
-    def step(number: int, pack: Pack, news: list) -> pa.RecordBatch:
+    def step(number: int, pack: Pack, news: pa.Array | None) -> pa.RecordBatch:
         rows = [(doc_id, size, removed, spans, hashlib.sha256(kept).hexdigest()) for doc_id, size, removed, spans, kept in _kept(pack, news)]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -302,7 +321,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
 def kept_texts(documents: DataFrame) -> DataFrame:
     """doc_id and text of what ``remove_repeats`` keeps; bytes that are no whole character any more become U+FFFD."""
-    def step(number: int, pack: Pack, news: list) -> pa.RecordBatch:
+    def step(number: int, pack: Pack, news: pa.Array | None) -> pa.RecordBatch:
         rows = [(row[0], row[4].decode("utf-8", "replace")) for row in _kept(pack, news)]
         return pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], ["doc_id", "text"])
 
