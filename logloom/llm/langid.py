@@ -207,7 +207,8 @@ def train_languages(documents: DataFrame, most_documents: int = SAMPLE_DOCUMENTS
     rows = rows.select("lang", F.substring("text", 1, most_chars).alias("text"), F.xxhash64("text").alias("_h"))
     n = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     share = F.lit(float(most_documents)) / F.col("_n")  # of the range of hashes
-    sample = rows.join(n, "lang").where(F.col("_h") / F.lit(2.0**64) + 0.5 <= share)
+    # One row per language, far less than the driver holds in a model of it: the texts are filtered where they are.
+    sample = rows.join(F.broadcast(n), "lang").where(F.col("_h") / F.lit(2.0**64) + 0.5 <= share)
     by_hash = Window.partitionBy("lang").orderBy("_h", "text")
     sample = sample.dropDuplicates(["lang", "_h"])
     sample = sample.withColumn("_at", F.row_number().over(by_hash)).where(F.col("_at") <= most_documents)
