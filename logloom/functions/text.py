@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import codecs
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Names that Python's codecs know otherwise.
+_ALIASES = {"WINDOWS-31J": "cp932", "X-WINDOWS-949": "cp949", "X-EUC-TW": "big5"}
+
+
 def decode_bytes(value: Column, charset: str = "UTF-8") -> Column:
     """Bytes to string. Malformed input becomes U+FFFD instead of failing the job."""
     name = charset.upper()
@@ -14,7 +21,20 @@ def decode_bytes(value: Column, charset: str = "UTF-8") -> Column:
     if name in ("US-ASCII", "ASCII"):
         latin = F.decode(value.cast("binary"), "ISO-8859-1")
         return F.regexp_replace(latin, r"[^\x00-\x7F]", "�")
-    return F.decode(value.cast("binary"), charset)
+    if name in ("ISO-8859-1", "LATIN1"):
+        return F.decode(value.cast("binary"), "ISO-8859-1")
+    return _decoder(charset)(value.cast("binary"))
+
+
+def _decoder(charset: str):
+    """Decoding by Python's codecs, column by column, for charsets that Spark has not or that it fails on."""
+    codec = codecs.lookup(_ALIASES.get(charset.upper(), charset)).name
+
+    @F.pandas_udf("string")
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(lambda data: None if data is None else bytes(data).decode(codec, "replace"))
+
+    return decode
 
 
 def short_host(host: Column) -> Column:

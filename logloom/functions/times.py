@@ -36,8 +36,14 @@ def access_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z"))
 
 
-def _clock(as_of: datetime | Column | None) -> tuple[Column, Column]:
-    """The reference clock as (epoch milliseconds, year), both in UTC."""
+def _clock(as_of: datetime | Column | None, streaming: bool = False) -> tuple[Column, Column]:
+    """The reference clock as (epoch milliseconds, year), both in UTC.
+
+    A stream without a given clock goes by the time of its micro-batch, which stays the same when the batch is repeated.
+    """
+    if as_of is None and streaming:
+        millis = F.unix_millis(F.current_timestamp())
+        return millis, F.year(F.date_from_unix_date(F.floor(millis / DAY_MS).cast("int")))
     if isinstance(as_of, Column):
         moment = as_of.cast("timestamp_ntz")
         of_day = F.hour(moment) * 3_600_000 + F.minute(moment) * 60_000
@@ -65,7 +71,7 @@ def add_syslog_time(
       is over a month behind it;
     * ``nearest``: the year that brings the time closest to the clock.
     """
-    now, year = _clock(as_of)
+    now, year = _clock(as_of, df.isStreaming)
     # The rewritten text differs from a time (no colons) and equals anything else, so one match does both.
     flat = df.withColumn("_text", text).withColumn("_flat", F.regexp_replace("_text", SYSLOG_TIME, "$1 $2 $3 $4 $5"))
     cut = flat.withColumn("_cut", F.when(F.col("_flat") != F.col("_text"), F.split("_flat", " ", -1)))

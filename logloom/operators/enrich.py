@@ -24,9 +24,6 @@ HOST_HEADER = "host"
 CUSTOMER_HEADER = "customer"
 UNKNOWN = "UNKNOWN"
 
-# Static pairs are copied into every event, so a file with more keys than this is refused.
-MAX_STATIC_KEYS = 10_000
-
 REGISTRY_LINE = r"\A(.*):(.*)\z"
 
 
@@ -90,6 +87,7 @@ def add_customer(
     host_header: str = HOST_HEADER,
 ) -> DataFrame:
     """Set the customer header by the short name of the host header."""
+    events = events.withColumn("headers", F.coalesce("headers", no_headers()))
     host = short_host(header_get(F.col("headers"), host_header))
     return look_up_customer(events, registry, host, customer_header)
 
@@ -136,11 +134,8 @@ def fold_pairs(pairs: DataFrame, preserve_existing: bool) -> DataFrame:
     """One row with the pairs as a map; of a repeated key the first stays when preserving, else the last."""
     pick = F.min_by if preserve_existing else F.max_by
     chosen = pairs.groupBy("key").agg(pick("value", F.struct("stream", "part", "block", "pos")).alias("value"))
-    entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value"))))
-    too_many = F.raise_error(F.lit(f"static pairs: more than {MAX_STATIC_KEYS} keys")).cast("map<string,string>")
-    # One row more than allowed is enough to see that there are too many, and all that one task then holds.
-    bounded = chosen.limit(MAX_STATIC_KEYS + 1)
-    return bounded.agg(F.when(F.count(F.lit(1)) > MAX_STATIC_KEYS, too_many).otherwise(entries).alias("statics"))
+    # Every event carries the whole map, so one task can hold it.
+    return chosen.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("statics"))
 
 
 def add_statics(events: DataFrame, pairs: DataFrame | None, preserve_existing: bool = True) -> DataFrame:

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import logging
-from functools import lru_cache
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -17,28 +15,16 @@ from logloom.schemas import TABLES, avro_schema, conform
 log = logging.getLogger(__name__)
 
 
-def table_format(spark: SparkSession, wanted: str | None = None) -> str:
-    """The container format: Avro when the session has it, else Parquet; ``wanted`` overrides."""
-    if wanted:
-        return wanted
-    return "avro" if _has_avro(spark) else "parquet"
-
-
-@lru_cache(maxsize=8)
-def _has_avro(spark: SparkSession) -> bool:
-    # Avro comes in a package of its own. Asking for a path that is not there tells a session that
-    # knows the format (no such path) from one that does not (no such source).
-    try:
-        spark.read.format("avro").schema("x int").load("/no/such/path")
-    except AnalysisException as error:
-        return error.getCondition() == "PATH_NOT_FOUND"
-    return True
+# The container format where none is asked for. Avro needs the ``spark-avro`` package in the session.
+DEFAULT_FORMAT = "parquet"
+# Directory name of the customer "": Spark would read an empty one back as null.
+NO_NAME = "__EMPTY__"
 
 
 def customer_column(table: DataFrame, customer_header: str = CUSTOMER_HEADER) -> DataFrame:
     """Add the customer header as a column, so that the table can be laid out and pruned by it."""
     customer = F.coalesce(header_get(F.col("headers"), customer_header), F.lit(UNKNOWN))
-    return table.withColumn("customer", customer)
+    return table.withColumn("customer", F.when(customer == "", NO_NAME).otherwise(customer))
 
 
 def _options(fmt: str, kind: str, namespace: str | None) -> dict[str, str]:
@@ -62,7 +48,7 @@ def write_table(
     """
     if kind not in TABLES:
         raise ValueError(f"unknown table kind: {kind!r}")
-    fmt = table_format(table.sparkSession, fmt)
+    fmt = fmt or DEFAULT_FORMAT
     if sync_interval is not None:
         log.info("block size is set by the %s writer: sync_interval=%s is not used", fmt, sync_interval)
     if by_customer:
@@ -79,7 +65,10 @@ def read_table(spark: SparkSession, path: str, kind: str, fmt: str | None = None
     _, schema = TABLES[kind]
     if by_customer:
         schema = StructType(schema.fields + [StructField("customer", StringType())])
-    return spark.read.format(table_format(spark, fmt)).schema(schema).load(path)
+    table = spark.read.format(fmt or DEFAULT_FORMAT).schema(schema).load(path)
+    if by_customer:
+        table = table.withColumn("customer", F.when(F.col("customer") == NO_NAME, "").otherwise(F.col("customer")))
+    return table
 
 
 def stream_table(
@@ -94,8 +83,12 @@ def stream_table(
     namespace: str | None = None,
 ):
     """Append a streaming parsed table to files; returns the running query."""
-    fmt = table_format(table.sparkSession, fmt)
+    if kind not in TABLES:
+        raise ValueError(f"unknown table kind: {kind!r}")
+    fmt = fmt or DEFAULT_FORMAT
     out = conform(customer_column(table), kind, ("customer",)) if by_customer else conform(table, kind)
+    if by_customer:
+        out = out.repartition("customer")
     writer = out.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if by_customer:
         writer = writer.partitionBy("customer")
