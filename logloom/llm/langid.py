@@ -19,7 +19,7 @@ from logloom.llm.common import doc_crc, pieces
 UNKNOWN = "und"
 SAMPLE_DOCUMENTS = 1_500
 SAMPLE_CHARS = 3_000
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 
 # First code point of ranges and the script that letters from there on have ("" for none in particular).
 SCRIPTS = [

@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql.window import Window
 from logloom.llm.common import pieces
 from logloom.plans.scratch import new_folder, remove_folder, saved
 
-CACHE = 400_000
+CACHE = 120_000
 
 LENGTHS = np.array([[(c >> (2 * k)) % 4 + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
@@ -121,11 +120,6 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def tokenize(documents: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, n, crc (of the ids as little-endian unsigned 32-bit integers) and ids (packed) of each document with the end id.
 
@@ -133,8 +127,8 @@ def tokenize(documents: DataFrame, path: str, end_id: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Encoder(path)  # and what it remembers goes with the task
         for batch in pieces(batches, 1):
-            coder = encoder(path)
             found = [np.append(ids, np.uint32(end_id)).astype("<u4") for ids in coder.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(ids) for ids in found], pa.int64()), pa.array([zlib.crc32(ids.tobytes()) for ids in found], pa.int64()),
@@ -168,7 +162,7 @@ def write_tokens(documents: DataFrame, folder: str, path: str | None = None, end
     """
     spark = documents.sparkSession
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    packed = encoder(path).packed
+    packed = Encoder(path).packed
     work = new_folder(spark, "token-ids")
     tokenize(documents, path, end_id).write.option("compression", "zstd").parquet(work)
     tokens = spark.read.parquet(work)
