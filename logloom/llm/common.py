@@ -38,7 +38,10 @@ def doc_crc(doc_id: Column) -> Column:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in slices of about ``most_bytes`` of column number ``text`` (at least one row each)."""
+    """The rows of the batches in slices of about ``most_bytes`` of column number ``text`` (at least one row each).
+
+    At the end, memory that Arrow holds in reserve goes back, as the worker may wait for its next task.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +53,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int, most_bytes: int = 4 <<
                 start, held = i, 0
             held += size + 64
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def _sizes(column: pa.Array) -> list[int]:

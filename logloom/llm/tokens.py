@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from logloom.llm.common import pieces
 from logloom.plans.scratch import new_folder, remove_folder, saved
 
-CACHE = 120_000
+CACHE = 60_000
 
 LENGTHS = np.array([[(c >> (2 * k)) % 4 + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
@@ -128,7 +128,7 @@ def tokenize(documents: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(path)  # and what it remembers goes with the task
-        for batch in pieces(batches, 1):
+        for batch in pieces(batches, 1, 2 << 20):
             found = [np.append(ids, np.uint32(end_id)).astype("<u4") for ids in coder.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(ids) for ids in found], pa.int64()), pa.array([zlib.crc32(ids.tobytes()) for ids in found], pa.int64()),
