@@ -38,9 +38,10 @@ def multi_line_events(
     charset: str = "UTF-8",
     stream_of: Key | None = None,
     host_of: Key | None = None,
+    order_of=None,
 ) -> DataFrame:
-    """Events of the files, each closed by a line that ends with the terminator."""
-    events = assemble_events(read_lines(spark, path, charset, stream_of), terminator, glue)
+    """Events of the files, each closed by a line that ends with the terminator. ``order_of`` puts rolled files in order."""
+    events = assemble_events(read_lines(spark, path, charset, stream_of, order_of=order_of), terminator, glue)
     return events.select(_headers(host_of).alias("headers"), "body")
 
 

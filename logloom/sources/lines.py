@@ -33,41 +33,71 @@ def parent_directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*\z", "")
 
 
+def rising_suffix(path: Column, modified: Column) -> Column:
+    """Order of rolled files whose last number rises (``log.1, log.2, log.10``); a file without one is the newest.
+
+    The number's length comes first, so that numbers of any length are in order as text.
+    """
+    number = F.regexp_extract(path, r"([0-9]+)\z", 1)
+    plain = F.regexp_replace(number, r"\A0+(?=[0-9])", "")
+    return F.when(number == "", "~").otherwise(F.concat(F.lpad(F.length(plain).cast("string"), 6, "0"), plain))
+
+
+def falling_suffix(path: Column, modified: Column) -> Column:
+    """Order of rolled files that are renamed as they age (``log.10, log.2, log.1, log``), for numbers of up to 38 digits."""
+    number = F.regexp_extract(path, r"([0-9]+)\z", 1)
+    return -F.when(number == "", F.lit(-1)).otherwise(number).cast("decimal(38,0)")
+
+
+def modification_order(path: Column, modified: Column) -> Column:
+    """Order by modification time, as text of fixed width."""
+    return F.lpad(F.unix_micros(modified).cast("string"), 20, "0")
+
+
 def read_lines(
     spark: SparkSession,
     path: str | list[str],
     charset: str = "UTF-8",
     stream_of=None,
     block_bits: int = BLOCK_BITS,
+    order_of=None,
 ) -> DataFrame:
     """Read text files as lines; ``\\n``, ``\\r`` and ``\\r\\n`` end a line.
 
     ``stream_of`` maps the file path column to the stream key; by default each file is a stream of
     its own. Files are cut into splits as usual: the row id rises inside a split, so (file, start of
     the split, row id) is the order of the file, whichever task reads which split.
+
+    The files of a stream follow each other by path, as text. ``order_of`` maps the columns of file path and modification
+    time to another order, such as :func:`rising_suffix`; the path then decides ties.
     """
     if charset.upper().startswith(("UTF-16", "UTF-32")):
         # Two- and four-byte charsets cannot be cut at a newline byte.
-        return read_whole_files(spark, path, charset, stream_of, block_bits)
+        return read_whole_files(spark, path, charset, stream_of, block_bits, order_of)
     stream = stream_of or (lambda file: file)
     row = F.monotonically_increasing_id()
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
+        _order(order_of, F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("order"),
         F.col("_metadata.file_block_start").alias("start"),
         row.alias("pos"),
         "value",
     )
     return raw.select(
         stream(F.col("file")).alias("stream"),
-        F.struct("file", "start").alias("part"),
+        F.struct("order", "file", "start").alias("part"),
         F.shiftright("pos", block_bits).alias("block"),
         "pos",
         decode_bytes(F.col("value"), charset).alias("line"),
     )
 
 
+def _order(order_of, path: Column, modified: Column) -> Column:
+    return F.lit("") if order_of is None else order_of(path, modified)
+
+
 def read_whole_files(
-    spark: SparkSession, path: str | list[str], charset: str = "UTF-8", stream_of=None, block_bits: int = BLOCK_BITS
+    spark: SparkSession, path: str | list[str], charset: str = "UTF-8", stream_of=None, block_bits: int = BLOCK_BITS, order_of=None
 ) -> DataFrame:
     """Lines of files that are read in one piece each: lookup files, and charsets that cannot be split.
 
@@ -76,33 +106,41 @@ def read_whole_files(
     stream = stream_of or (lambda file: file)
     paths = [path] if isinstance(path, str) else path
     files = spark.read.format("binaryFile").load(paths)
-    text = files.select(F.col("path").alias("file"), decode_bytes(F.col("content"), charset).alias("text"))
-    rows = text.select("file", F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
+    order = _order(order_of, F.col("path"), F.col("modificationTime"))
+    text = files.select(F.col("path").alias("file"), order.alias("order"), decode_bytes(F.col("content"), charset).alias("text"))
+    rows = text.select("file", "order", F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     pos = F.col("pos").cast("bigint")
     return rows.select(
         stream(F.col("file")).alias("stream"),
-        F.struct("file", F.lit(0).cast("bigint").alias("start")).alias("part"),
+        F.struct("order", "file", F.lit(0).cast("bigint").alias("start")).alias("part"),
         F.shiftright(pos, block_bits).alias("block"),
         pos.alias("pos"),
         "line",
     )
 
 
-def chunk_rows(files: DataFrame, stream_of=parent_directory) -> DataFrame:
-    """Chunks frame (``stream, chunk, lines``) from whole-text rows that carry ``_metadata``."""
+def chunk_rows(files: DataFrame, stream_of=parent_directory, order_of=None) -> DataFrame:
+    """Chunks frame (``stream, chunk, lines``) from whole-text rows that carry ``_metadata``.
+
+    Chunks are in order of their name, or of the text that ``order_of`` gives (:func:`rising_suffix`,
+    :func:`modification_order`), which then comes before the path in ``chunk``.
+    """
     file = F.col("_metadata.file_path")
+    chunk = file
+    if order_of is not None:
+        chunk = F.concat(order_of(file, F.col("_metadata.file_modification_time")), F.lit(" "), file)
     return files.select(
-        stream_of(file).alias("stream"), file.alias("chunk"), split_lines(F.col("value")).alias("lines")
+        stream_of(file).alias("stream"), chunk.alias("chunk"), split_lines(F.col("value")).alias("lines")
     )
 
 
 def read_chunk_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int = 20, stream_of=parent_directory
+    spark: SparkSession, path: str, max_files_per_trigger: int = 20, stream_of=parent_directory, order_of=None
 ) -> DataFrame:
     """Rolled log chunks as a stream: one row per file with its lines in order.
 
-    Chunks must end at a line end and be named in order inside their directory. A micro-batch takes
-    at most ``max_files_per_trigger`` of them.
+    Chunks must end at a line end and be named in order inside their directory, or be put in order by ``order_of`` (see
+    :func:`chunk_rows`). A micro-batch takes at most ``max_files_per_trigger`` of them.
     """
     files = (
         spark.readStream.format("text")
@@ -110,4 +148,4 @@ def read_chunk_stream(
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(path)
     )
-    return chunk_rows(files, stream_of)
+    return chunk_rows(files, stream_of, order_of)

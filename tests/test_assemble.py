@@ -1,3 +1,4 @@
+import os
 import random
 import time
 
@@ -6,7 +7,7 @@ from model import assemble
 from pyspark.sql import functions as F
 
 from logloom.operators.assemble import assemble_events, count_events, to_events, unterminated_lines
-from logloom.sources.lines import number_lines, parent_directory, read_lines
+from logloom.sources.lines import falling_suffix, modification_order, number_lines, parent_directory, read_lines, rising_suffix
 
 SMALL_CASES = {
     "leading blank is kept": (["", "a#"], ["~a#"]),
@@ -154,3 +155,16 @@ def test_count_and_headers(spark):
     rows = counted.collect()
     assert seen.get["events_read"] == 2
     assert {row.headers["host"] for row in rows} == {"s"}
+
+
+@pytest.mark.parametrize("charset", ["UTF-8", "UTF-16LE"])
+@pytest.mark.parametrize("order", [rising_suffix, falling_suffix, modification_order])
+def test_rolled_files_in_time_order(spark, tmp_path, order, charset):
+    names = [f"server.log.{i}" for i in range(1, 13)]
+    names = (names[::-1] if order is falling_suffix else names) + ["server.log"]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_bytes(f"x{i}\n{'end#' + chr(10) if i % 4 == 0 else ''}".encode(charset))
+        os.utime(tmp_path / name, (1_000_000 + i, 1_000_000 + i))
+    lines = read_lines(spark, str(tmp_path), charset, stream_of=parent_directory, order_of=order)
+    got = [row.body for row in assemble_events(lines, "#", "~").orderBy("part", "block", "pos").collect()]
+    assert got == ["x0~end#", "x1~x2~x3~x4~end#", "x5~x6~x7~x8~end#", "x9~x10~x11~x12~end#"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from logloom.operators.enrich import add_customer, add_statics, load_registry, load_static_pairs
 from logloom.operators.syslog import parse_syslog
-from logloom.sources.lines import read_chunk_stream
+from logloom.sources.lines import read_chunk_stream, rising_suffix
 from logloom.streaming.assemble import assemble_stream
 from logloom.streaming.jobs import append_refreshed, append_to, count_stream_events
 
@@ -75,6 +75,16 @@ def test_late_and_unclosed(spark, tmp_path):
     }
 
 
+def test_rolled_chunks_in_order(spark, tmp_path):
+    for step in (range(1, 8), range(8, 13)):
+        for i in step:
+            put(tmp_path / "in", "s", f"log.{i}", [f"x{i}", "end#"] if i % 3 == 0 else [f"x{i}"])
+        source = read_chunk_stream(spark, f"{tmp_path / 'in'}/*", order_of=rising_suffix)
+        events = assemble_stream(source, "#", "~")
+        append_to(events, str(tmp_path / "out" / "events"), str(tmp_path / "out" / "checkpoint"), available_now=True).awaitTermination()
+    assert bodies(spark, tmp_path / "out") == {"s": ["x1~x2~x3~end#", "x4~x5~x6~end#", "x7~x8~x9~end#", "x10~x11~x12~end#"]}
+
+
 @pytest.mark.parametrize("again", [True, False])
 def test_registry_refresh(spark, tmp_path, again):
     path = tmp_path / "registry.txt"
