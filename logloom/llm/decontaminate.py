@@ -133,25 +133,28 @@ class SuffixAutomaton:
         return spans, found
 
 
-def _automata(benchmark: DataFrame, window: int, max_item_words: int) -> Iterator[SuffixAutomaton]:
+def _automata(benchmark: DataFrame, window: int, max_item_words: int, nameless: bool) -> Iterator[SuffixAutomaton]:
     """Automata of the items, each of at most ``max_item_words`` words (or one longer item)."""
-    items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).where("item_id IS NOT NULL")
+    items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
+    if not nameless:
+        items = items.where("item_id IS NOT NULL")
     size = F.regexp_count(lower_ascii(F.col("text")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     total = items.agg(F.sum(size)).first()[0] or 0
     parts = max(1, -(-total // max_item_words))
     for part in range(parts):
-        mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
+        mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         by_item: dict = {}
         for row in mine.orderBy("item_id", "text").toLocalIterator():
             by_item[(row["item_id"], len(by_item))] = words_of(row["text"])
         yield SuffixAutomaton(by_item, window)
 
 
-def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10, max_item_words: int = MAX_ITEM_WORDS) -> DataFrame:
+def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10, max_item_words: int = MAX_ITEM_WORDS, nameless: bool = False) -> DataFrame:
     """``documents`` with n_words (long), spans (array of start and end, in words, merged and in order) and items (sorted ids).
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. Null texts have no
-    words, items with a null id are left out. The automaton is sent to every task; it is built from at most
+    words. Items with a null id are left out, unless ``nameless``: then their windows are hit like any other, and together they are
+    one item, null, at the end of the ids. The automaton is sent to every task; it is built from at most
     ``max_item_words`` words. A larger benchmark is cut into parts that go over the documents one after the other, each
     pass adding its spans; the rows are written between passes, so that one automaton is held at a time.
     """
@@ -173,14 +176,14 @@ def benchmark_hits(documents: DataFrame, benchmark: DataFrame, window: int = 10,
                     more, found = held.value.hits(words)
                     n_words.append(len(words))
                     spans.append(merged([(s["start"], s["end"]) for s in before], more))
-                    items.append(sorted({*had, *(item for item, _ in found)}))
+                    items.append(sorted({*had, *(item for item, _ in found)}, key=lambda item: (item is None, item or 0)))
                 kinds = batch.schema.types[len(columns):]
                 values = (n_words, [[{"start": a, "end": b} for a, b in s] for s in spans], items)
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *[pa.array(v, k) for v, k in zip(values, kinds)]], names=batch.schema.names)
 
         return df.mapInArrow(run, schema)
 
-    for i, automaton in enumerate(_automata(benchmark, window, max_item_words)):
+    for i, automaton in enumerate(_automata(benchmark, window, max_item_words, nameless)):
         out = searched(saved(out, "benchmark-pass") if i else out, automaton)
     return out
 
@@ -198,7 +201,7 @@ def merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
 
 
 def hit_digests(hits: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """doc_id, n_words, n_hit, n_items (a null one counts), items_sha256 (of the ids but null), contaminated."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
     names = F.array_join(F.array_sort(F.transform("items", lambda item: item.cast("string"))), ",")
     return hits.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
@@ -208,12 +211,12 @@ def hit_digests(hits: DataFrame) -> DataFrame:
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """The documents without what they share with the benchmark.
 
-    Spans of ``window`` words and more that occur in an item are cut out of the text, with the separators inside them. A document
+    Spans of ``window`` words and more that occur in an item, with or without an id, are cut out of the text, with the separators inside them. A document
     of whose words more than ``max_coverage`` lie in spans goes as a whole. Other texts stay as they are; n_chars,
     where there, is counted anew for texts that were cut.
     """
     columns, schema = documents.columns, documents.schema
-    hits = benchmark_hits(documents.select(F.struct(*columns).alias("row"), "text"), benchmark, window)
+    hits = benchmark_hits(documents.select(F.struct(*columns).alias("row"), "text"), benchmark, window, nameless=True)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
     left = hits.where((n_hit == 0) | (n_hit <= max_coverage * F.col("n_words"))).select("row.*", F.col("spans").alias("_spans_"))
     text_at = columns.index("text")

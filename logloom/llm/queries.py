@@ -50,7 +50,7 @@ def op6_remove_repeats(spark, sf_dir):
 
 
 def op7_decontaminate(spark, sf_dir):
-    return hit_digests(benchmark_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")))
+    return hit_digests(benchmark_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), nameless=True))
 
 
 def op8_toxicity(spark, sf_dir):

@@ -9,7 +9,7 @@ import pytest
 from conftest import prose
 from tokenizers import Tokenizer
 
-from logloom.llm import chat, decontaminate, mixing, quality, tokens
+from logloom.llm import chat, decontaminate, mixing, quality, queries, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -175,6 +175,27 @@ def test_hits_against_all_windows(spark, documents, most):
     assert sorted([tuple(r) for r in decontaminate.hit_digests(hits).collect()], key=repr) == want
 
 
+@pytest.mark.parametrize("most", [1_000_000, 60])
+def test_hits_of_items_without_id(spark, documents, most, tmp_path):
+    rows, items = bench_tables()
+    items += [(None, prose(79, 15)), (None, prose(80, 12))]
+    rows += [(200, f"{prose(81, 20)} {prose(79, 15)}"), (201, f"{prose(80, 12)} {prose(79, 15)}")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    hits = decontaminate.benchmark_hits(documents(rows).select("doc_id", "text"), bench, max_item_words=most, nameless=True)
+    want = []
+    for doc_id, n_words, n_hit, n_items, _, hit in slow_hits(rows, items):
+        want.append((doc_id, n_words, n_hit, n_items, hit))
+    got = decontaminate.hit_digests(hits).collect()
+    assert sorted([(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in got], key=repr) == sorted(want, key=repr)
+    only = [r for r in got if r["doc_id"] in (200, 201)]
+    assert {(r["doc_id"], r["n_hit"] >= 15, r["items_sha256"] == hashlib.sha256(b"").hexdigest()) for r in only} == {(200, True, True), (201, True, True)}
+    documents(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert {r["n_hit"] for r in queries.op7_decontaminate(spark, str(tmp_path)).where("doc_id = 201").collect()} == {27}
+    left = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(documents(rows), bench).collect()}
+    assert left[200] == f"{prose(81, 20)} " and 201 not in left
+
+
 def test_spans_are_cut(spark, documents):
     item = prose(77, 15)
     rows = [(1, f"{prose(78, 40)}\n{item}, and after."), (2, item), (3, "clean text of a few words"), (4, None)]
