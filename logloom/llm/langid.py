@@ -6,6 +6,7 @@ import bisect
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,7 @@ UNKNOWN = "und"
 SAMPLE_DOCUMENTS = 1_500
 SAMPLE_CHARS = 3_000
 WORDS_KEPT = 100_000
+PIECE = 40  # letters; longer runs are cut into pieces of this length at most
 
 # First code point of ranges and the script that letters from there on have ("" for none in particular).
 SCRIPTS = [
@@ -33,9 +35,55 @@ _WORD = re.compile(r"[^\W\d_]+")
 _IMPOSSIBLE = -60.0
 
 
+@lru_cache(1 << 16)
+def _script_at(letter: str) -> str | None:
+    """Script of a letter; None for phonetic, modifier and sign-like letters, which go with those before them."""
+    if 0x0250 <= ord(letter) < 0x0370 or 0x2000 <= ord(letter) < 0x3040:
+        return None
+    return SCRIPTS[bisect.bisect_right(_STARTS, ord(letter)) - 1][1]
+
+
 def script_of(word: str) -> str:
-    """Script of the word's first letter."""
-    return SCRIPTS[bisect.bisect_right(_STARTS, ord(word[0])) - 1][1]
+    """Script of the word's first letter that has one of its own."""
+    return next((script for script in map(_script_at, word) if script is not None), "")
+
+
+@lru_cache(1 << 16)
+def _is_letter(c: str) -> bool:
+    return _WORD.match(c) is not None
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, lower-case: its runs of letters, cut where the script changes, and long ones into even pieces."""
+    lowered = text.lower() if text else ""
+    words = _WORD.findall(lowered)
+    if not words:
+        return words
+    if lowered.isascii() or len({_script_at(c) for c in set(lowered) if _is_letter(c)} - {None}) < 2:
+        return words if max(map(len, words)) <= PIECE else [piece for word in words for piece in _even_pieces(word)]
+    return [piece for word in words for part in _one_script_each(word) for piece in _even_pieces(part)]
+
+
+def _one_script_each(word: str) -> list[str]:
+    if word.isascii():
+        return [word]
+    parts, start, script = [], 0, None
+    for i, letter in enumerate(word):
+        own = _script_at(letter)
+        if own is None:
+            continue
+        if script is not None and own != script:
+            parts.append(word[start:i])
+            start = i
+        script = own
+    return [*parts, word[start:]]
+
+
+def _even_pieces(word: str) -> list[str]:
+    if len(word) <= PIECE:
+        return [word]
+    n = -(-len(word) // PIECE)
+    return [word[len(word) * k // n : len(word) * (k + 1) // n] for k in range(n)]
 
 
 class LanguageModel:
@@ -55,7 +103,7 @@ class LanguageModel:
             mine: dict[int, dict[str, int]] = {1: {}, 2: {}, 3: {}}
             tally: dict[str, int] = {}
             for text in samples.loc[samples["lang"] == lang, "text"]:
-                for word in _WORD.findall(text.lower()):
+                for word in words_of(text):
                     tally[word] = tally.get(word, 0) + 1
             shown: dict[str, int] = {}
             for word, n in tally.items():
@@ -103,7 +151,7 @@ class LanguageModel:
         if len(rows) > WORDS_KEPT:
             rows.clear()
             self.gram_table.clear()
-        padded = [f"  {word[:40]} " for word in words]
+        padded = [f"  {word} " for word in words]
         for word in padded:
             grams += [word[i : i + 3] for i in range(len(word) - 2)]
         for gram in set(grams) - rows.keys():
@@ -135,12 +183,12 @@ class LanguageModel:
         return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
-        """(language, score, spans) of each text; spans are (first word, end word, language) over its words of letters.
+        """(language, score, spans) of each text; spans are (first word, end word, language) over its words (``words_of``).
 
         The words of all texts go through Viterbi side by side, the longest texts first, so that a step is one array
         operation over the texts that still have words. The language is that of most letters; the score is its share of them.
         """
-        found = [_WORD.findall(text.lower()) if text else [] for text in texts]
+        found = [words_of(text) for text in texts]
         sizes = np.array([len(words) for words in found], dtype=np.int64)
         n_lang = len(self.languages)
         if not sizes.sum() or not n_lang:

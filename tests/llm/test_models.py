@@ -38,6 +38,18 @@ def test_spans_against_all_paths():
             assert value(labels) == pytest.approx(best, abs=1e-3) and 0 <= score <= 1
 
 
+def test_every_letter_of_long_runs_counts():
+    model = small_model()
+    texts = ["baka" * 30 + "λογος" * 40 + "besch" * 100, "baka" * 100 + "besch" * 200, "bakaλογος", "кот" + "besch" * 90]
+    got = model.label(texts)
+    assert [[lang for _, _, lang in spans] for _, _, spans in got[:3]] == [["xx", "gr", "yy"], ["xx", "yy"], ["xx", "gr"]]
+    assert [lang for lang, _, _ in got] == ["yy", "yy", "gr", "yy"] and got[0][1] == pytest.approx(500 / 820)
+    assert got[1][1] == pytest.approx(1000 / 1400, abs=0.03)
+    for text in texts:
+        words = langid.words_of(text)
+        assert "".join(words) == text and max(map(len, words)) <= langid.PIECE and len(model.word_scores(words)) == len(words)
+
+
 def test_language_of_odd_rows(spark, documents, odd_rows):
     df = documents(odd_rows, extra=True)
     got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_languages(df).collect()}
