@@ -248,13 +248,14 @@ class LanguageModel:
 def train_languages(documents: DataFrame, most_documents: int = SAMPLE_DOCUMENTS, most_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """A model from the text and lang of documents that are not held out (crc32 of the id as text, mod 4, is not 2).
 
-    Fitted on at most ``most_documents`` rows per language and ``most_chars`` characters of each, the rows with the lowest hash
-    of their text, equal texts once: a bounded sample, the same in every run. Rows without text or lang are left out.
+    Fitted on at most ``most_documents`` texts per language, all where there are no more, and ``most_chars`` characters of each, the rows with the lowest hash
+    of their text, equal texts counted once: a bounded sample, the same in every run. Rows without text or lang are left out.
     """
     rows = documents.where("text IS NOT NULL AND lang IS NOT NULL").where(~_held_out())
     rows = rows.select("lang", F.substring("text", 1, most_chars).alias("text"), F.xxhash64("text").alias("_h"))
-    n = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    share = F.lit(float(most_documents)) / F.col("_n")  # of the range of hashes
+    n = rows.select("lang", "_h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # Of the range of hashes, with eight standard deviations to spare, so that no language falls short by chance.
+    share = F.lit(most_documents + 8 * math.sqrt(most_documents) + 32) / F.col("_n")
     # One row per language, far less than the driver holds in a model of it: the texts are filtered where they are.
     sample = rows.join(F.broadcast(n), "lang").where(F.col("_h") / F.lit(2.0**64) + 0.5 <= share)
     by_hash = Window.partitionBy("lang").orderBy("_h", "text")

@@ -50,6 +50,14 @@ def test_every_letter_of_long_runs_counts():
         assert "".join(words) == text and max(map(len, words)) <= langid.PIECE and len(model.word_scores(words)) == len(words)
 
 
+def test_copies_do_not_shrink_the_sample(documents, monkeypatch):
+    monkeypatch.setattr(langid, "LanguageModel", lambda samples: samples)
+    rows = [(i, prose(i % 8, 20), "aa") for i in range(3000)] + [(5000 + i, prose(100 + i % 60, 20), "bb") for i in range(900)] + [(9000 + i, prose(500 + i, 20), "cc") for i in range(400)]
+    df = documents([(*row, "src") for row in rows])
+    got = langid.train_languages(df, 30)
+    assert got.groupby("lang").size().to_dict() == {"aa": 8, "bb": 30, "cc": 30} and not got["text"].duplicated().any()
+
+
 def test_language_of_odd_rows(spark, documents, odd_rows):
     df = documents(odd_rows, extra=True)
     got = {r["doc_id"]: r["lang_pred"] for r in langid.identify_languages(df).collect()}
