@@ -9,7 +9,7 @@ from logloom.llm.langid import documents_with_language
 from logloom.llm.mixing import repeated_documents
 from logloom.llm.queries import LLM_ORACLES
 from logloom.llm.queries import QUERIES as OPERATOR_QUERIES
-from logloom.llm.simhash import first_of_groups, simhash_groups
+from logloom.llm.simhash import one_of_each_group
 from logloom.llm.tokens import token_index, write_tokens
 from logloom.plans.scratch import new_folder
 
@@ -20,8 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one with the smallest doc_id."""
-    return first_of_groups(docs, simhash_groups(docs))
+    """One document of each SimHash group stays: the one with the smallest doc_id, null last."""
+    return one_of_each_group(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -69,15 +69,17 @@ def _bit_sums(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return sums
 
 
-def with_fingerprints(documents: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of each row."""
+def with_fingerprints(documents: DataFrame, shingle: int, **hashes: Column) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and the given long columns of each row."""
+    names = ["doc_id", "fp", *hashes]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1, 2 << 20):
             found = fingerprints(batch.column(1).to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names)
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    rows = documents.select("doc_id", "text", *[column.alias(name) for name, column in hashes.items()])
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def embed(fps: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
@@ -210,18 +212,44 @@ def simhash_groups(documents: DataFrame, shingle: int = 4, distance: int = 4) ->
     like any other. A null doc_id never names a component unless all its documents have none.
     """
     docs = saved(with_fingerprints(documents, shingle), "simhash-documents")
+    placed = _placed(docs, distance)
+    linked = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.select("fp", "component").join(linked, "component").select("fp", "component_id")
+    return docs.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _placed(docs: DataFrame, distance: int) -> DataFrame:
+    """fp, component (smallest fingerprint linked) and least (smallest doc_id) of each distinct fingerprint of ``docs``."""
     nodes = saved(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     blocks = blocks_for(nodes.count(), distance)
     links = near_links(nodes.repartition("fp"), distance, blocks)
     found = connected_components(links).withColumnRenamed("node", "fp")
-    placed = nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    linked = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.select("fp", "component").join(linked, "component").select("fp", "component_id")
-    return docs.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return nodes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def one_of_each_group(documents: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each SimHash group: that with the smallest doc_id, null last, then the first by hashes of text and row.
+
+    Groups are told apart by their fingerprints, so ids may be null or repeated. The choice is made on hashes, in
+    aggregations only; whole rows are looked up by them.
+    """
+    row = F.struct(*documents.columns)
+    hashes = {"_text_hash": F.xxhash64("text"), "_row_hash": F.xxhash64(row)}
+    docs = saved(with_fingerprints(documents, shingle, **hashes), "simhash-documents")
+    key = ["doc_id", *hashes]
+    counted = docs.groupBy("fp", *key).agg(F.count(F.lit(1)).alias("_n"))
+    in_groups = counted.join(_placed(docs, distance).select("fp", "component"), "fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_last"), *key, "_n"))
+    chosen = in_groups.groupBy("component").agg(first.alias("_first")).select("component", *[F.col(f"_first.{k}").alias(f"_of_{k}") for k in [*key, "_n"]])
+    rows = documents.select(row.alias("row"), "doc_id", *[column.alias(name) for name, column in hashes.items()])
+    same = F.col("_row_hash") == F.col("_of__row_hash")
+    found = rows.join(chosen, same & (F.col("_text_hash") == F.col("_of__text_hash")) & F.col("doc_id").eqNullSafe(F.col("_of_doc_id")))
+    several = found.where("_of__n > 1").groupBy("component").agg(F.first("row").alias("row"))  # equal rows
+    return found.where("_of__n = 1").select("row").unionByName(several.select("row")).select("row.*")
 
 
 def first_of_groups(documents: DataFrame, groups: DataFrame) -> DataFrame:
-    """One document of each group: the one whose id names it.
+    """One document for each id that names a group; ``one_of_each_group`` tells groups with the same or no id apart.
 
     Of rows that share that id, the first by hashes of text and row stays. Rows without an id are in no group that has one; if some
     group has none at all, one of them stays in all.

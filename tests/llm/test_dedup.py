@@ -101,6 +101,25 @@ def test_one_of_each_group_stays(documents, odd_rows):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted({c for _, _, c in slow_groups([(r[0], r[1]) for r in odd_rows])}, key=repr)
 
 
+def test_one_of_each_group_with_odd_ids(documents, odd_rows):
+    rows = [*odd_rows, *[(None, prose(900 + i, 30), "en", "a") for i in range(6)], *[(None, prose(900, 30), "en", "a")] * 4, (7, prose(901, 30), "en", "b"), (5, prose(950, 40), "en", "b")]
+    fps = [slow_fingerprint(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 4:
+                group = [min(group[i], group[j]) if g in (group[i], group[j]) else g for g in group]
+    kept = simhash.one_of_each_group(documents(rows, extra=True))
+    assert kept.columns == documents(rows, extra=True).columns
+    got = [tuple(r)[:2] for r in kept.collect()]
+    assert len(got) == len(set(group)) and len(set(got)) == len(got)
+    least = lambda g: min((r[0] is None, r[0] or 0) for r, own in zip(rows, group) if own == g)
+    assert sorted((d is None, d or 0) for d, _ in got) == sorted(least(g) for g in set(group))
+    texts = {g: {r[:2] for r, own in zip(rows, group) if own == g} for g in set(group)}
+    assert all(sum(pair in own for pair in got) == 1 for own in texts.values())
+    assert simhash.one_of_each_group(documents([])).collect() == []
+
+
 def test_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "a long, b long")
     got = {r["node"]: r["component"] for r in connected_components(edges).collect()}
