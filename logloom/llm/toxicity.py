@@ -22,7 +22,8 @@ from logloom.llm.common import doc_crc, pieces
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_SIZE, CHAR_SIZE = 8, 8, 16
 WORD_ROWS, GRAM_ROWS = 1 << 12, 1 << 14
-SAMPLE_TOXIC, SAMPLE_OTHERS, SAMPLE_WORDS = 1_000, 3_000, 600
+SAMPLE_TOXIC, SAMPLE_OTHERS = 1_000, 3_000
+PIECE, PIECE_STEP = 40, 20  # letters of the pieces that longer runs are read by, and from one to the next
 WORDS_KEPT = 150_000
 GRAM = 4
 STEP = 4096
@@ -31,14 +32,18 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """Runs of letters, lower-case; long ones as overlapping pieces, so that what is short lies whole in one of them."""
+    words = _WORD.findall(text.lower()) if text else []
+    if not words or max(map(len, words)) <= PIECE:
+        return words
+    return [word[at : at + PIECE] for word in words for at in range(0, max(1, len(word) - PIECE + PIECE_STEP), PIECE_STEP)]
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the words' embeddings; rows of those of their character n-grams (``GRAM`` bytes, edges marked), and how many each word has."""
     crc, rows, grams, sizes = zlib.crc32, [], [], []
     for word in words:
-        marked = f"<{word[:40]}>".encode()
+        marked = f"<{word}>".encode()
         n = max(1, len(marked) - GRAM + 1)
         rows.append(crc(marked))
         grams += [crc(marked[i : i + GRAM]) for i in range(n)]
@@ -251,7 +256,7 @@ def train_network(sample: pd.DataFrame, rounds: int = 6, batch: int = 256, rate:
     network = Network(seed)
     sample = sample.sort_values(["toxic", "text"]).reset_index(drop=True)
     aside = sample.index % 5 == 4
-    texts = [words_of(text)[:SAMPLE_WORDS] for text in sample["text"][~aside]]
+    texts = [words_of(text) for text in sample["text"][~aside]]
     toxic = sample["toxic"][~aside].to_numpy(np.float32)
     if not len(toxic) or toxic.min() == toxic.max():
         network.p["out"][:] = 0
@@ -290,7 +295,9 @@ def train_network(sample: pd.DataFrame, rounds: int = 6, batch: int = 256, rate:
                 part = order[first : first + batch]
                 adam.step(network.gradients(windows[:, part], lengths[part], features, labels[part], weight[part]))
     network.forget()
-    network.scale = _platt(network.logits(sample["text"][aside].tolist()), sample["toxic"][aside].to_numpy(np.float64))
+    held = sample["text"][aside].tolist()
+    found = [network.logits(held[k : k + 64]) for k in range(0, len(held), 64)]
+    network.scale = _platt(np.concatenate([np.zeros(0), *found]), sample["toxic"][aside].to_numpy(np.float64))
     network.forget()
     return network
 
@@ -331,12 +338,13 @@ def training_sample(documents: DataFrame, labels: DataFrame, most_toxic: int = S
     """text and toxic of at most ``most_toxic`` toxic and ``most_others`` other documents whose crc32 of the id, mod 5, is not 0.
 
     The labelled ids with the lowest hashes, the same in every run; they are few by this bound, and so are sent to the
-    documents. An id that any label row calls toxic is toxic. Texts are cut to what ``SAMPLE_WORDS`` words may take.
+    documents. An id that any label row calls toxic is toxic. Texts are whole: a label may
+    be due to any part of its text.
     """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~_held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k, most in ((0, most_others), (1, most_toxic))]
     chosen = parts[0].unionByName(parts[1])
-    texts = documents.select(F.col("doc_id").alias("_id"), F.substring("text", 1, 12 * SAMPLE_WORDS).alias("text")).where("text IS NOT NULL")
+    texts = documents.select(F.col("doc_id").alias("_id"), "text").where("text IS NOT NULL")
     joined = texts.join(F.broadcast(chosen), F.col("_id") == F.col("doc_id"))
     return joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic").toPandas()
 

@@ -104,6 +104,31 @@ def test_every_word_is_in_a_window():
         assert seen == set(range(n))
 
 
+def test_no_part_of_a_text_is_left_out(documents, spark, monkeypatch):
+    network = toxicity.Network(3)
+    clean, other = network.logits(["a" * 70 + "bbbbbb" + "a" * 30, "a" * 70 + "zorgel" + "a" * 30])
+    assert clean != other
+    for n in (1, 40, 41, 60, 61, 500):
+        run = "".join(chr(97 + i * i % 23) for i in range(n))
+        pieces = toxicity.words_of(run)
+        assert max(map(len, pieces)) <= 40 and all(any(run[i : i + 20] in piece for piece in pieces) for i in range(max(1, n - 19)))
+    rows = [(i, prose(i, 3000)) for i in range(1, 11)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    sample = toxicity.training_sample(documents(rows), labels)
+    assert len(sample) and set(sample["text"]) <= {text for _, text in rows}
+
+    class Seen(Exception):
+        pass
+
+    def seen(sizes):
+        raise Seen(sizes.tolist())
+
+    monkeypatch.setattr(toxicity, "window_index", seen)
+    with pytest.raises(Seen) as sizes:
+        toxicity.train_network(sample)
+    assert min(sizes.value.args[0]) >= 3000
+
+
 def test_toxicity_of_new_documents(spark, documents):
     rng = random.Random(2)
     rows, labels = [], []
