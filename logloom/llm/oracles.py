@@ -68,4 +68,14 @@ SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_wor
   NOT base_failed AND n_left_words >= 10 AND n_left_words >= 0.5 * n_words AS kept FROM judged
 """
 
-ORACLES = {"op4_chat_format": OP4, "op7_decontaminate": OP7, "op9_quality_rules": OP9}
+OP12 = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT doc_id, t, n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM docs),
+cuts AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1))::BIGINT AS a, greatest(h1 % (n + 1), h2 % (n + 1))::BIGINT AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || t[1:a] || '<S>' || t[b + 1:] || '<M>' || t[a + 1:b] ELSE '<S>' || t[b + 1:] || '<P>' || t[1:a] || '<M>' || t[a + 1:b] END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM cuts
+"""
+
+ORACLES = {"op4_chat_format": OP4, "op7_decontaminate": OP7, "op9_quality_rules": OP9, "op12_fill_in_middle": OP12}
