@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from logloom.llm.chat import conversation_digests, format_conversations
 from logloom.llm.common import table
 from logloom.llm.decontaminate import benchmark_hits, hit_digests
+from logloom.llm.extract import extract_text
 from logloom.llm.fim import fill_in_middle, fim_digests
 from logloom.llm.langid import identify_languages
 from logloom.llm.licenses import scan_licenses
@@ -72,4 +73,8 @@ def op12_fill_in_middle(spark, sf_dir):
     return fim_digests(fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op13_html_extraction(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {name: function for name, function in globals().items() if name.startswith("op")}
