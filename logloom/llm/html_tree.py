@@ -137,8 +137,6 @@ def parse(page: str) -> Element:
             elif tag == "p" and not n_open.get("p"):
                 flush()
             elif n_open.get(tag):
-                if tag in BLOCKS:
-                    flush()
                 shut({tag}, () if tag in TABLE_PARTS else CELLS)
             continue
         if not (tag := token["tag"]):

@@ -68,6 +68,28 @@ SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_wor
   NOT base_failed AND n_left_words >= 10 AND n_left_words >= 0.5 * n_words AS kept FROM judged
 """
 
+OP11 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM documents),
+grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS g FROM pieces
+  UNION ALL SELECT lang, 2, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) FROM pieces
+  UNION ALL SELECT lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) FROM pieces),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS p FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.g, c.a, j, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.k = c.j AND x.g = array_to_string(c.p[1:c.j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - c.j AND y.g = array_to_string(c.p[c.j + 1:c.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, k, g ORDER BY score, j) = 1),
+longer AS (SELECT lang, g, max(a) AS most FROM (SELECT lang, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS g, a FROM cand WHERE k = 3) GROUP BY lang, g),
+ranked AS (SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, c.g) AS rank FROM lowest c
+  LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g AND c.k = 2 WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
 OP12 = """
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 drawn AS (SELECT doc_id, t, n, ('0x' || h[1:8])::UBIGINT AS h1, ('0x' || h[9:16])::UBIGINT AS h2, ('0x' || h[17:24])::UBIGINT AS h3, ('0x' || h[25:32])::UBIGINT AS h4 FROM docs),
@@ -78,4 +100,4 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS pre
   sha256(t) AS restored_sha256 FROM cuts
 """
 
-ORACLES = {"op4_chat_format": OP4, "op7_decontaminate": OP7, "op9_quality_rules": OP9, "op12_fill_in_middle": OP12}
+ORACLES = {"op4_chat_format": OP4, "op7_decontaminate": OP7, "op9_quality_rules": OP9, "op11_collocations": OP11, "op12_fill_in_middle": OP12}

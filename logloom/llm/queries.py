@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logloom.llm.chat import conversation_digests, format_conversations
+from logloom.llm.collocations import mine_collocations
 from logloom.llm.common import table
 from logloom.llm.decontaminate import benchmark_hits, hit_digests
 from logloom.llm.extract import extract_text
@@ -69,6 +70,10 @@ def op10_token_ids(spark, sf_dir):
     return token_index(spark, folder)
 
 
+def op11_collocations(spark, sf_dir):
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark, sf_dir):
     return fim_digests(fill_in_middle(table(spark, sf_dir, "documents")))
 
