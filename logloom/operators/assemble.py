@@ -7,7 +7,8 @@ dropped. Lines after the last terminator of a stream belong to no event.
 A stream may be far too long for one task, so it is never sorted or folded as a whole. Each block of
 lines is cut by itself into a head (up to its first terminator), whole events, and a tail (after its
 last one). Only heads and tails meet again, grouped by the event they belong to; which event that is
-follows from counting the blocks that hold a terminator. The text is shuffled once, by block.
+follows from counting the blocks that hold a terminator. The text is read and shuffled once, by block;
+whole events, edges and marks of blocks all come from that one exchange.
 """
 
 from __future__ import annotations
@@ -76,24 +77,20 @@ def glue_lines(events: DataFrame, glue: str, keep: tuple[str, ...]) -> DataFrame
     return kept.select(*keep, F.array_join("kept", glue).alias("body"), F.size("kept").alias("n_lines"))
 
 
-def _cut_lines(lines: DataFrame, terminator: str) -> DataFrame:
-    """One row per block: its pieces and the positions of its lines."""
+def _blocks(lines: DataFrame) -> DataFrame:
+    """One row per block with its lines in order, and their positions ``at``."""
     rows = F.sort_array(F.collect_list(F.struct("pos", F.coalesce("line", F.lit("")).alias("line"))))
     blocks = lines.groupBy("stream", "part", "block").agg(rows.alias("rows"))
-    return cut_block(
-        blocks.select("stream", "part", "block", F.col("rows.pos").alias("at"), F.col("rows.line").alias("lines")),
-        terminator,
-    )
+    return blocks.select("stream", "part", "block", F.col("rows.pos").alias("at"), F.col("rows.line").alias("lines"))
 
 
-def _event_numbers(lines: DataFrame, terminator: str) -> DataFrame:
+def _event_numbers(blocks: DataFrame, terminator: str) -> DataFrame:
     """Per block: how many earlier blocks of its stream hold a terminator, and how many hold one in all.
 
-    Counted on the lines themselves, where it needs no shuffle of the text, and summed up in two
-    steps, inside parts and over parts, on one small row per block.
+    Summed up in two steps, inside parts and over parts, on one small row per block.
     """
-    ends = F.coalesce(F.col("line").endswith(terminator), F.lit(False)).cast("bigint")
-    marks = lines.groupBy("stream", "part", "block").agg(F.max(ends).alias("closes"))
+    closes = F.exists("lines", lambda line: line.endswith(terminator)).cast("bigint")
+    marks = blocks.select("stream", "part", "block", closes.alias("closes"))
     in_part = Window.partitionBy("stream", "part").orderBy("block")
     inner = marks.withColumn(
         "inside", F.coalesce(F.sum("closes").over(in_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -131,29 +128,26 @@ def _edges(blocks: DataFrame, numbers: DataFrame) -> DataFrame:
     tail = F.struct(F.lit(1).alias("piece"), F.col("tail").alias("lines"), no_end.alias("end"), F.col("tail_at").alias("at"))
     pieces = blocks.select("stream", "part", "block", F.inline(F.array(head, tail)))
     # Null-safe equality throughout: a plain one would push a not-null filter below the shuffle of the
-    # text on this side only, and the two readers of the blocks could then not share that shuffle.
+    # text on this side only, and the readers of the blocks could then not share that shuffle.
     same = (
         F.col("stream").eqNullSafe(F.col("s"))
         & F.col("part").eqNullSafe(F.col("p"))
         & F.col("block").eqNullSafe(F.col("b"))
     )
-    joined = pieces.where(F.size("lines") > 0).join(numbers, same, "left")
-    # The lines are read twice, for the text and for the numbers. Should a source not give the same
-    # blocks both times, fail rather than lose an event.
-    unknown = F.raise_error(F.lit("assembly: the lines changed while they were read")).cast("boolean")
+    joined = pieces.where(F.size("lines") > 0).join(numbers, same)
     number = F.col("number") + F.col("piece")
-    in_event = F.when(F.col("total").isNull(), unknown).otherwise(number < F.col("total"))
-    placed = joined.withColumn("in_event", in_event).withColumn("number", number)
+    placed = joined.withColumn("in_event", number < F.col("total")).withColumn("number", number)
     return settle(placed, "number", "in_event").drop("s", "p", "b", "total")
 
 
 def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) -> DataFrame:
     """Events of a lines frame: ``stream, part, block, pos`` of the closing line, ``body``, ``n_lines``."""
-    blocks = _cut_lines(lines, check_terminator(terminator))
+    whole_blocks = _blocks(lines)
+    blocks = cut_block(whole_blocks, check_terminator(terminator))
     inside = blocks.select("stream", "part", "block", F.inline("whole")).withColumn("leading", F.lit(False))
     piece = F.struct("part", "block", "piece", "end", "lines")
     crossing = (
-        _edges(blocks, _event_numbers(lines, terminator))
+        _edges(blocks, _event_numbers(whole_blocks, terminator))
         .where("in_event")
         .groupBy("stream", "number")
         .agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
@@ -172,8 +166,9 @@ def assemble_events(lines: DataFrame, terminator: str, glue: str = LINE_GLUE) ->
 
 def unterminated_lines(lines: DataFrame, terminator: str) -> DataFrame:
     """Lines after the last terminator of their stream, which no event holds: ``stream, part, block, pos, line``."""
-    numbers = _event_numbers(lines, check_terminator(terminator))
-    edges = _edges(_cut_lines(lines, terminator), numbers).where("NOT in_event")
+    blocks = _blocks(lines)
+    numbers = _event_numbers(blocks, check_terminator(terminator))
+    edges = _edges(cut_block(blocks, terminator), numbers).where("NOT in_event")
     zipped = F.arrays_zip(F.col("at").alias("pos"), F.col("lines").alias("line"))
     return edges.select("stream", "part", "block", F.inline(zipped)).toDF("stream", "part", "block", "pos", "line")
 

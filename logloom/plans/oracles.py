@@ -5,8 +5,6 @@ from __future__ import annotations
 from logloom.operators.access_log import LINE_PATTERN
 from logloom.schemas import ACCESS_FIELDS
 
-DOC_LINES = 1 << 20
-
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -21,7 +19,7 @@ def _doc_lines(blanks: int = 1, stream: str = "source") -> str:
       SELECT doc_id, {stream} AS stream,
              string_split(replace(text, chr(10), repeat(chr(10), {blanks + 1})), chr(10)) AS parts FROM documents),
     lines AS (
-      SELECT stream, doc_id * {DOC_LINES} + i - 1 AS pos, parts[i] AS line
+      SELECT stream, {{'doc_id': doc_id, 'pos': i - 1}} AS pos, parts[i] AS line
       FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM docs) t)"""
 
 
@@ -39,11 +37,11 @@ def _segments(terminator: str) -> str:
 def _events(glue: str, blanks: int = 1, terminator: str = ".") -> str:
     return f"""WITH {_doc_lines(blanks)}, {_segments(terminator)},
     events AS (
-      SELECT stream, max(pos)::BIGINT AS pos, string_agg(line, {glue} ORDER BY pos) AS body, count(*)::INT AS n_lines
+      SELECT stream, max(pos).doc_id AS doc_id, max(pos).pos::BIGINT AS pos, string_agg(line, {glue} ORDER BY pos) AS body, count(*)::INT AS n_lines
       FROM kept GROUP BY stream, seg HAVING bool_or(is_end))"""
 
 
-ALL_EVENTS = _events("' § '") + " SELECT stream, pos, body, n_lines FROM events"
+ALL_EVENTS = _events("' § '") + " SELECT stream, doc_id, pos, body, n_lines FROM events"
 
 FILE_LINES = """
   SELECT line FROM (SELECT unnest(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10))) AS line FROM documents)
@@ -268,7 +266,7 @@ _DATED = f"""
           FROM (SELECT event_id, ts + to_months((user_id % 12)::INT) AS moment,
                        ts + to_months((event_id % 25)::INT - 12) AS clock FROM events)))"""
 
-_DOCUMENT_PART = "floor((pos // {lines}) * 3 / ((SELECT max(doc_id) FROM documents) + 1))".format(lines=DOC_LINES)
+_DOCUMENT_PART = "floor(doc_id * 3 / ((SELECT max(doc_id) FROM documents) + 1))"
 
 ORACLES = {
     "s1_read_lines": f"SELECT line, count(*) AS n FROM ({FILE_LINES}) GROUP BY line",
@@ -283,16 +281,26 @@ ORACLES = {
         UNION ALL SELECT 'document ' || doc_id || ' |#]', 1 FROM documents)
       SELECT body, n_lines, count(*) AS n FROM bodies GROUP BY ALL""",
     "s2_charset": "SELECT conv_id, turn, text AS little, text AS big, text AS utf8 FROM conversations",
+    "s2_charset_files": """SELECT charset, line, count(*) AS n
+      FROM (SELECT unnest(string_split(CASE doc_id % 2 WHEN 1 THEN text || chr(10) || 'Ċ漊ĀਅĀ' || chr(10) ELSE text END, chr(10))) AS line FROM documents),
+        (VALUES ('UTF-16LE'), ('UTF-16BE'), ('UTF-32LE'), ('UTF-32BE')) c(charset) GROUP BY ALL""",
     "s3_assemble_events": ALL_EVENTS,
-    "s4_separator_blanks": _events("'~'", blanks=3) + " SELECT stream, pos, body, n_lines FROM events",
-    "s5_line_glue": _events("chr(10)") + " SELECT stream, pos, body FROM events",
+    "s4_separator_blanks": _events("'~'", blanks=3) + " SELECT stream, doc_id, pos, body, n_lines FROM events",
+    "s5_line_glue": _events("chr(10)") + " SELECT stream, doc_id, pos, body FROM events",
     "s6_unterminated_tail": f"""WITH {_doc_lines(stream='doc_id')}, {_segments('.')},
       tails AS (SELECT *, bool_or(is_end) OVER (PARTITION BY stream, seg) AS closed FROM numbered)
-      SELECT stream, count(*) AS n_lines, min(pos)::BIGINT AS first_pos, max(pos)::BIGINT AS last_pos
+      SELECT stream, count(*) AS n_lines, min(pos).pos::BIGINT AS first_pos, max(pos).pos::BIGINT AS last_pos
       FROM tails WHERE NOT closed GROUP BY stream""",
     "s7_stream_assembly": ALL_EVENTS,
     "s8_micro_batches": _events("' § '")
     + f" SELECT {_DOCUMENT_PART}::BIGINT AS batch, count(*) AS n_events FROM events GROUP BY 1",
+    "s8_admitted_batches": _events("' § '")
+    + f""", files AS (SELECT DISTINCT source, floor(doc_id * 4 / ((SELECT max(doc_id) FROM documents) + 1)) AS roll FROM documents)
+      SELECT stream, count(*) AS n_events, sum(n_lines)::BIGINT AS n_lines, (SELECT ceil(count(*) / 24)::BIGINT FROM files) AS n_batches, true AS within
+      FROM events GROUP BY stream""",
+    "s9_stream_counts": f"""WITH {_doc_lines()},
+      files AS (SELECT DISTINCT source, floor(doc_id * 4 / ((SELECT max(doc_id) FROM documents) + 1)) AS roll FROM documents)
+      SELECT (SELECT ceil(count(*) / 16)::BIGINT FROM files) AS n_batches, count(*) AS n_written, count(*) AS events_read, 0 AS n_different FROM lines""",
     "s9_count_events": _events("' § '")
     + " SELECT stream, count(*) AS n_events, (SELECT count(*) FROM events) AS events_read FROM events GROUP BY stream",
     "s10_restart": ALL_EVENTS,
@@ -317,7 +325,8 @@ ORACLES = {
         ON p.event_id = e.event_id""",
     "e10_refresh": f"""WITH registry AS ({NATION_REGISTRY})
       SELECT event_id, coalesce(
-               CASE WHEN event_id * 2 >= (SELECT max(event_id) + 1 FROM events) THEN 'new ' ELSE '' END || customer, 'UNKNOWN') AS customer
+               CASE WHEN event_id * 2 >= (SELECT max(event_id) + 1 FROM events) THEN 'new ' ELSE '' END || customer, 'UNKNOWN') AS customer,
+             coalesce(customer, 'UNKNOWN') AS customer_once
       FROM events LEFT JOIN registry ON host = 'nation_' || (user_id % 30)""",
     "p1_string_events": "SELECT conv_id, turn, 'role=' || role || ';turn=' || turn AS headers, text AS body FROM conversations",
     "p2_access_log": f"WITH {ACCESS_PARSED} SELECT event_id, headers, original, {ACCESS_COLUMNS}, parse_status FROM access_parsed",
@@ -344,6 +353,10 @@ ORACLES = {
       SELECT 'access' AS kind, parse_status, count(*) AS n FROM access_parsed WHERE parse_status <> 'ok' GROUP BY ALL
       UNION ALL SELECT 'app', parse_status, count(*) FROM app_parsed WHERE parse_status <> 'ok' GROUP BY ALL
       UNION ALL SELECT 'syslog', parse_status, count(*) FROM syslog_parsed WHERE parse_status <> 'ok' GROUP BY ALL""",
+    "p9_quarantine": f"""WITH {ACCESS_PARSED}, {APP_PARSED}, {SYSLOG_PARSED},
+      all_rows AS (SELECT 'access' AS kind, parse_status, original FROM access_parsed UNION ALL SELECT 'app', parse_status, original FROM app_parsed
+        UNION ALL SELECT 'syslog', parse_status, original FROM syslog_parsed)
+      SELECT kind, parse_status, count(*) AS n, count(*) AS counted, sum(length(original))::BIGINT AS chars FROM all_rows GROUP BY ALL""",
     "k1_event_table": "SELECT 'role=' || role || ';turn=' || turn AS headers, text AS body FROM conversations",
     "k2_access_table": f"WITH {ACCESS_PARSED} SELECT headers, original, {ACCESS_COLUMNS} FROM access_parsed",
     "k3_app_table": f"WITH {APP_PARSED} SELECT {APP_COLUMNS} FROM app_parsed",
@@ -355,6 +368,12 @@ ORACLES = {
     "k7_by_customer": f"""WITH {APP_CUSTOMER}
       SELECT customer, 'customer=' || customer || ';' || headers AS headers, original, "timestamp", message
       FROM app_customers WHERE customer = 'ASIA'""",
+    "k7_all_customers": f"""WITH {APP_CUSTOMER}
+      SELECT customer, loglevel, count(*) AS n, sum(length(original))::BIGINT AS chars FROM app_customers GROUP BY ALL""",
+    "k7_stream_by_customer": f"""WITH {APP_PARSED}
+      SELECT CASE WHEN event_id % 3 = 0 THEN 'HOT' WHEN event_id % 7 = 1 THEN '' WHEN event_id % 7 = 2 THEN '__EMPTY__'
+               WHEN event_id % 7 = 3 THEN '__HIVE_DEFAULT_PARTITION__' WHEN event_id % 7 = 4 THEN 'a/b=c %' ELSE 'C' || (event_id % 11) END AS customer,
+             loglevel, count(*) AS n, sum(length(original))::BIGINT AS chars FROM app_parsed GROUP BY ALL""",
     "flagship_levels_by_customer": f"""WITH {APP_CUSTOMER}
       SELECT customer, loglevel, count(*) AS n_events, max(datetime) AS latest FROM app_customers GROUP BY ALL""",
 }

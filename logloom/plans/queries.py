@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +19,13 @@ from logloom.operators.events import string_events
 from logloom.operators.rejects import rejects
 from logloom.operators.syslog import parse_syslog
 from logloom.plans import render
-from logloom.plans.render import DOC_LINES, table
+from logloom.plans.render import table
 from logloom.plans.scratch import new_folder
 from logloom.schemas import ACCESS_FIELDS, APP_FIELDS
-from logloom.sinks.tables import read_table, write_table
-from logloom.sources.lines import read_lines
-from logloom.streaming.assemble import assemble_stream
-from logloom.streaming.jobs import append_refreshed, append_to
+from logloom.sinks.tables import read_good, read_rejects, read_table, stream_table, write_table, write_with_rejects
+from logloom.sources.lines import read_chunk_stream, read_lines
+from logloom.streaming.assemble import assemble_to, read_events
+from logloom.streaming.jobs import REFRESH, BatchCounts, append_refreshed, count_stream_events
 
 FULL_STOP = "."
 CLOCK = "2024-01-31 00:00:00"
@@ -71,19 +72,46 @@ def s2_charset(spark, sf_dir):
     )
 
 
+WIDE_CHARSETS = {"UTF-16LE": "\n\0", "UTF-16BE": "\0\n", "UTF-32LE": "\n\0\0\0", "UTF-32BE": "\0\0\0\n"}
+
+
+def _wide_bytes(text: Column, charset: str) -> Column:
+    """The bytes of a text in a wide charset, as a string that is written as it is."""
+    if charset.startswith("UTF-16"):
+        return F.encode(text, charset).cast("string")
+    hexes = F.hex(F.encode(text, "UTF-32"))  # the high byte first, without a mark
+    if charset == "UTF-32LE":
+        hexes = F.regexp_replace(hexes, "(..)(..)(..)(..)", "$4$3$2$1")
+    return F.unhex(hexes).cast("string")
+
+
+def s2_charset_files(spark, sf_dir):
+    """The lines of all documents from files in wide charsets, half of them with characters that hold the bytes of a newline."""
+    docs = table(spark, sf_dir, "documents").withColumn("odd", F.col("doc_id") % 2)
+    text = F.when(F.col("odd") == 1, F.concat("text", F.lit("\nĊ漊ĀਅĀ\n"))).otherwise(F.col("text"))
+    splits = spark.newSession()
+    splits.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    lines = []
+    for charset, newline in WIDE_CHARSETS.items():
+        folder = new_folder(spark, "wide")
+        docs.select("odd", _wide_bytes(text, charset).alias("value")).write.partitionBy("odd").text(folder, lineSep=newline)
+        lines.append(read_lines(splits, f"{folder}/*", charset).select(F.lit(charset).alias("charset"), "line"))
+    return reduce(DataFrame.unionByName, lines).groupBy("charset", "line").agg(n_rows("n"))
+
+
 def s3_assemble_events(spark, sf_dir):
     events = assemble_events(render.doc_lines(spark, sf_dir), FULL_STOP)
-    return events.select("stream", "pos", "body", "n_lines")
+    return events.select("stream", "block.doc_id", "pos", "body", "n_lines")
 
 
 def s4_separator_blanks(spark, sf_dir):
     events = assemble_events(render.doc_lines(spark, sf_dir, blanks=3), FULL_STOP, "~")
-    return events.select("stream", "pos", "body", "n_lines")
+    return events.select("stream", "block.doc_id", "pos", "body", "n_lines")
 
 
 def s5_line_glue(spark, sf_dir):
     events = assemble_events(render.doc_lines(spark, sf_dir), FULL_STOP, "\n")
-    return events.select("stream", "pos", "body")
+    return events.select("stream", "block.doc_id", "pos", "body")
 
 
 def s6_unterminated_tail(spark, sf_dir):
@@ -91,18 +119,22 @@ def s6_unterminated_tail(spark, sf_dir):
     return lines.groupBy("stream").agg(n_rows("n_lines"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"))
 
 
-def _stream_events(chunks: DataFrame) -> DataFrame:
-    events = assemble_stream(chunks, FULL_STOP)
-    pos = F.col("chunk").cast("bigint") * DOC_LINES + F.col("pos")
-    return events.where(F.col("status") == "event").select("stream", pos.alias("pos"), "body", "n_lines")
+def _assembling(docs: DataFrame, out: str):
+    """A running query that assembles documents as log chunks of their source."""
+    return assemble_to(render.doc_chunks(docs), FULL_STOP, f"{out}/events", f"{out}/checkpoint", available_now=True)
+
+
+def _assembled(spark: SparkSession, out: str) -> DataFrame:
+    events = read_events(spark, f"{out}/events", f"{out}/checkpoint").where("status = 'event'")
+    return events.withColumn("doc_id", F.col("chunk").cast("bigint"))
 
 
 def s7_stream_assembly(spark, sf_dir):
     schema = table(spark, sf_dir, "documents").schema
     docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
     out = new_folder(spark, "stream")
-    append_to(_stream_events(render.doc_chunks(docs)), f"{out}/events", f"{out}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{out}/events")
+    _assembling(docs, out).awaitTermination()
+    return _assembled(spark, out).select("stream", "doc_id", "pos", "body", "n_lines")
 
 
 def _document_parts(spark: SparkSession, sf_dir: str, parts: int) -> list[DataFrame]:
@@ -124,12 +156,53 @@ def _fed_in_parts(spark, sf_dir, parts: int, start: Callable[[DataFrame, str], o
 
 
 def s8_micro_batches(spark, sf_dir):
-    def start(docs, out):
-        events = _stream_events(render.doc_chunks(docs))
-        return append_refreshed(events, lambda batch: batch.agg(n_rows("n_events")), f"{out}/counts", f"{out}/checkpoint", available_now=True)
+    out = _fed_in_parts(spark, sf_dir, 3, _assembling)
+    return _assembled(spark, out).groupBy("batch").agg(n_rows("n_events"))
+
+
+def _rolled_documents(spark: SparkSession, sf_dir: str, rolls: int = 4) -> str:
+    """The documents of each source as rolled log files, ``rolls`` ranges of ids, a file for each that has any."""
+    folder = new_folder(spark, "rolled")
+    docs = table(spark, sf_dir, "documents")
+    roll = F.floor(F.col("doc_id") * rolls / (docs.agg(F.max("doc_id")).scalar() + 1))
+    text = F.array_join(render.doc_line_array(), "\n").alias("value")
+    rows = docs.select("source", roll.alias("roll"), "doc_id", text)
+    for i in range(rolls):
+        # One after the other, as a stream admits files by their time.
+        ordered = rows.where(F.col("roll") == i).repartition("source").sortWithinPartitions("source", "doc_id").drop("doc_id")
+        ordered.write.mode("append").partitionBy("source", "roll").text(folder)
+    return folder
+
+
+def _source_of(path: Column) -> Column:
+    return F.regexp_extract(path, "source=([^/]*)", 1)
 
-    out = _fed_in_parts(spark, sf_dir, 3, start)
-    return spark.read.parquet(f"{out}/counts").select(F.col("batch").cast("bigint").alias("batch"), "n_events")
+
+def s8_admitted_batches(spark, sf_dir):
+    """Events per stream from one run over rolled files, a few files to a batch."""
+    most = 24
+    folder, out = _rolled_documents(spark, sf_dir), new_folder(spark, "stream")
+    chunks = count_stream_events(read_chunk_stream(spark, f"{folder}/source=*/roll=*", most, _source_of), "files")
+    with BatchCounts(spark, f"{out}/counts", "files"):
+        assemble_to(chunks, FULL_STOP, f"{out}/events", f"{out}/checkpoint", available_now=True).awaitTermination()
+    counts = spark.read.parquet(f"{out}/counts").agg(F.count(F.lit(1)).alias("n_batches"), (F.max("events_read") <= most).alias("within"))
+    events = read_events(spark, f"{out}/events", f"{out}/checkpoint").where("status = 'event'")
+    per_stream = events.groupBy("stream").agg(n_rows("n_events"), F.sum("n_lines").alias("n_lines"))
+    return per_stream.withColumns({name: counts.select(name).scalar() for name in ("n_batches", "within")})
+
+
+def s9_stream_counts(spark, sf_dir):
+    """Line events per micro-batch of a stream: what its counter says, and what was written."""
+    folder, out = _rolled_documents(spark, sf_dir), new_folder(spark, "stream")
+    chunks = read_chunk_stream(spark, f"{folder}/source=*/roll=*", 16, _source_of)
+    events = count_stream_events(chunks.select("stream", F.explode("lines").alias("body")))
+    with BatchCounts(spark, f"{out}/counts"):
+        append_refreshed(events, lambda batch: batch, f"{out}/events", f"{out}/checkpoint", available_now=True).awaitTermination()
+    written = spark.read.parquet(f"{out}/events").groupBy("batch").agg(n_rows("n_written"))
+    both = written.join(spark.read.parquet(f"{out}/counts"), "batch", "full")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_batches"), F.sum("n_written").cast("bigint").alias("n_written"), F.sum("events_read").cast("bigint").alias("events_read"),
+        F.count_if(~F.col("n_written").eqNullSafe(F.col("events_read"))).alias("n_different"))
 
 
 def s9_count_events(spark, sf_dir):
@@ -140,11 +213,8 @@ def s9_count_events(spark, sf_dir):
 
 
 def s10_restart(spark, sf_dir):
-    def start(docs, out):
-        return append_to(_stream_events(render.doc_chunks(docs)), f"{out}/events", f"{out}/checkpoint", available_now=True)
-
-    out = _fed_in_parts(spark, sf_dir, 2, start)
-    return spark.read.parquet(f"{out}/events")
+    out = _fed_in_parts(spark, sf_dir, 2, _assembling)
+    return _assembled(spark, out).select("stream", "doc_id", "pos", "body", "n_lines")
 
 
 # --- enrichment -----------------------------------------------------------------------------------
@@ -214,18 +284,20 @@ def e10_refresh(spark, sf_dir):
     last = events.agg(F.max("event_id")).scalar()
     half = F.floor(F.col("event_id") * 2 / (last + 1))
 
-    def enrich(batch):
+    def enrich(batch, registry):
         host = F.concat(F.lit("nation_"), (F.col("user_id") % 30).cast("string"))
-        registry = load_registry(spark, f"{out}/registry")
         found = add_customer(batch.select("event_id", F.create_map(F.lit("host"), host).alias("headers")), registry)
         return found.select("event_id", header_get(F.col("headers"), "customer").alias("customer"))
 
+    lookups = {"registry": lambda: load_registry(spark, f"{out}/registry")}
     for step, prefix in enumerate(("", "new ")):
         render.nation_registry_lines(spark, sf_dir, prefix).select("line").write.mode("overwrite").text(f"{out}/registry")
         events.where(half == step).write.mode("append").parquet(f"{out}/in")
-        source = spark.readStream.schema(events.schema).parquet(f"{out}/in")
-        append_refreshed(source, enrich, f"{out}/events", f"{out}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{out}/events").select("event_id", "customer")
+        for refresh in REFRESH:
+            source = spark.readStream.schema(events.schema).parquet(f"{out}/in")
+            append_refreshed(source, enrich, f"{out}/{refresh}", f"{out}/checkpoint-{refresh}", True, lookups=lookups, refresh=refresh).awaitTermination()
+    each, once = (spark.read.parquet(f"{out}/{refresh}").select("event_id", "customer") for refresh in REFRESH)
+    return each.join(once.withColumnRenamed("customer", "customer_once"), "event_id")
 
 
 # --- parse jobs -----------------------------------------------------------------------------------
@@ -322,6 +394,20 @@ def p9_rejects(spark, sf_dir):
     return access.unionByName(bad(_app(spark, sf_dir), "app")).unionByName(bad(_syslog(spark, sf_dir), "syslog"))
 
 
+def p9_quarantine(spark, sf_dir):
+    """Each kind of log written once, good rows and rejects beside each other: rows by reason, as read back and as counted."""
+    logs = {"access": parse_access_log(render.access_events(spark, sf_dir)), "app": parse_app_log(render.app_events(spark, sf_dir)), "syslog": _syslog(spark, sf_dir, keep=())}
+    found = []
+    for kind, parsed in logs.items():
+        folder = new_folder(spark, f"{kind}-rows")
+        counts = write_with_rejects(parsed, folder, kind)
+        rows = read_good(spark, folder, kind).withColumn("parse_status", F.lit("ok")).unionByName(read_rejects(spark, folder, kind))
+        counted = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])[F.col("parse_status")].cast("bigint")
+        per_status = rows.groupBy("parse_status").agg(n_rows("n"), F.sum(F.length("original")).alias("chars"))
+        found.append(per_status.withColumns({"kind": F.lit(kind), "counted": counted}))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- sinks ----------------------------------------------------------------------------------------
 
 
@@ -371,6 +457,24 @@ def k7_by_customer(spark, sf_dir):
     return back.where(F.col("customer") == "ASIA").select("customer", header_line(), "original", "timestamp", "message")
 
 
+def k7_all_customers(spark, sf_dir):
+    registry = registry_from_lines(render.nation_registry_lines(spark, sf_dir))
+    parsed = parse_app_log(add_customer(render.app_events(spark, sf_dir), registry))
+    back = _written(spark, parsed, "app", by_customer=True)
+    return back.groupBy("customer", "loglevel").agg(n_rows("n"), F.sum(F.length("original")).alias("chars"))
+
+
+def k7_stream_by_customer(spark, sf_dir):
+    """A streamed table by customer, one of them with a third of all rows."""
+    out = new_folder(spark, "by-customer")
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    with_customer = render.app_events(spark, sf_dir, events).withColumn("headers", header_put(F.col("headers"), "customer", render.app_customer()))
+    stream_table(parse_app_log(with_customer), f"{out}/table", "app", f"{out}/checkpoint", by_customer=True, available_now=True).awaitTermination()
+    back = read_table(spark, f"{out}/table", "app", by_customer=True)
+    return back.groupBy("customer", "loglevel").agg(n_rows("n"), F.sum(F.length("original")).alias("chars"))
+
+
 def flagship_levels_by_customer(spark, sf_dir):
     """How many log events of each level did each customer's applications write?"""
     registry = registry_from_lines(render.nation_registry_lines(spark, sf_dir))
@@ -385,13 +489,16 @@ QUERIES = {
         s1_read_lines,
         s1_files_to_events,
         s2_charset,
+        s2_charset_files,
         s3_assemble_events,
         s4_separator_blanks,
         s5_line_glue,
         s6_unterminated_tail,
         s7_stream_assembly,
         s8_micro_batches,
+        s8_admitted_batches,
         s9_count_events,
+        s9_stream_counts,
         s10_restart,
         e1_host_registry,
         e2_short_host,
@@ -414,6 +521,7 @@ QUERIES = {
         p7_readable_time,
         p8_defaults,
         p9_rejects,
+        p9_quarantine,
         k1_event_table,
         k2_access_table,
         k3_app_table,
@@ -421,6 +529,8 @@ QUERIES = {
         k5_read_by_field,
         k6_container_formats,
         k7_by_customer,
+        k7_all_customers,
+        k7_stream_by_customer,
         flagship_levels_by_customer,
     )
 }

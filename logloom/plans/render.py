@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.sources.lines import number_lines
+from logloom.sources.lines import BLOCK_BITS, number_lines
 
-DOC_LINES = 1 << 20  # room for the lines of one document in a line position
+DOC_PART_BITS = 6  # documents in a part of a lines frame, as a power of two
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +27,21 @@ def doc_line_array(blanks: int = 1) -> Column:
 
 
 def doc_lines(spark: SparkSession, sf_dir: str, blanks: int = 1, stream: str = "source") -> DataFrame:
-    """All documents of a source as one stream, in document order (or each as its own, by ``doc_id``)."""
+    """All documents of a source as one stream, in document order (or each as its own, by ``doc_id``).
+
+    A line's place is its document (``block.doc_id``) and its number in it (``pos``).
+    """
     docs = table(spark, sf_dir, "documents").select(
         F.col(stream).alias("stream"), "doc_id", F.posexplode(doc_line_array(blanks)).alias("i", "line")
     )
-    return number_lines(docs.withColumn("pos", F.col("doc_id") * DOC_LINES + F.col("i")))
+    pos = F.col("i").cast("bigint")
+    return docs.select(
+        "stream",
+        F.shiftright("doc_id", DOC_PART_BITS).alias("part"),
+        F.struct("doc_id", F.shiftright(pos, BLOCK_BITS).alias("block")).alias("block"),
+        pos.alias("pos"),
+        "line",
+    )
 
 
 def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,8 +149,8 @@ def app_time(offset: str = "+0100") -> Column:
     return text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), offset)
 
 
-def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An application-log event per event row; some with too few pipes, a bad time or pipes in the message."""
+def app_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """An application-log event per event row (of a stream, if given); some with too few pipes, a bad time or pipes in the message."""
     key = F.col("event_id")
     tail = text("|app", F.col("user_id") % 5, "|com.example.", F.col("event_type"), "|_ThreadID=", F.col("user_id"), ";|")
     full = text("[#|", app_time(), "|", log_level(), tail, "did ", F.col("props"), " § ok|#]")
@@ -154,9 +164,15 @@ def app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(full)
     )
     host = text("NATION_", F.col("user_id") % 30, ".example.com")
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.create_map(F.lit("host"), host).alias("headers"), line.alias("body")
-    )
+    rows = table(spark, sf_dir, "events") if events is None else events
+    return rows.select("event_id", F.create_map(F.lit("host"), host).alias("headers"), line.alias("body"))
+
+
+def app_customer() -> Column:
+    """A customer for an event id: one with a third of all events, some with names that directories treat in a way of their own."""
+    key = F.col("event_id")
+    odd = F.when(key % 7 == 1, "").when(key % 7 == 2, "__EMPTY__").when(key % 7 == 3, "__HIVE_DEFAULT_PARTITION__").when(key % 7 == 4, "a/b=c %")
+    return F.when(key % 3 == 0, "HOT").otherwise(F.coalesce(odd, text("C", key % 11)))
 
 
 def syslog_time(moment: Column, zero_padded: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +25,35 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     """Delete a folder that ``new_folder`` named."""
     if "/logloom/" not in folder:
         raise ValueError(f"not a working folder: {folder}")
+    files, path = _path(spark, folder)
+    files.delete(path, True)
+
+
+def _path(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder or file is there, on whatever file system its path names."""
+    files, path = _path(spark, folder)
+    return files.exists(path)
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders inside a folder."""
+    files, path = _path(spark, folder)
+    if not files.exists(path):
+        return []
+    return sorted(found.getPath().getName() for found in files.listStatus(path) if found.isDirectory())
+
+
+def remove_children(spark: SparkSession, folder: str, old: Callable[[str], bool]) -> None:
+    """Delete the folders inside a folder whose name ``old`` picks."""
+    files, _ = _path(spark, folder)
+    for name in children(spark, folder):
+        if not name.startswith("_") and old(name):
+            files.delete(_path(spark, f"{folder}/{name}")[1], True)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -44,6 +44,13 @@ TABLES = {
     "syslog": ("SyslogEvent", SYSLOG),
 }
 
+# What a parse job says of a row.
+PARSE_STATUSES = {
+    "access": ("ok", "no_match"),
+    "app": ("ok", "bad_time", "no_match"),
+    "syslog": ("ok", "too_short", "bad_time", "no_message"),
+}
+
 _AVRO_TYPES = {"string": "string", "int": "int", "bigint": "long"}
 
 

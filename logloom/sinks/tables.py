@@ -4,27 +4,35 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from logloom.functions.headers import header_get
 from logloom.operators.enrich import CUSTOMER_HEADER, UNKNOWN
-from logloom.schemas import TABLES, avro_schema, conform
+from logloom.schemas import PARSE_STATUSES, TABLES, avro_schema, conform
+from logloom.streaming.jobs import trigger_of
 
 log = logging.getLogger(__name__)
 
 
 # The container format where none is asked for. Avro needs the ``spark-avro`` package in the session.
 DEFAULT_FORMAT = "parquet"
-# Directory name of the customer "": Spark would read an empty one back as null.
+# Directory names that Spark gives a meaning of its own: "" and its name for null would both be read back as null. Such names, and
+# those that start like this mark, are written behind the mark.
 NO_NAME = "__EMPTY__"
+SPECIAL_NAMES = ("", "__HIVE_DEFAULT_PARTITION__")
 
 
 def customer_column(table: DataFrame, customer_header: str = CUSTOMER_HEADER) -> DataFrame:
     """Add the customer header as a column, so that the table can be laid out and pruned by it."""
     customer = F.coalesce(header_get(F.col("headers"), customer_header), F.lit(UNKNOWN))
-    return table.withColumn("customer", F.when(customer == "", NO_NAME).otherwise(customer))
+    marked = customer.isin(*SPECIAL_NAMES) | customer.startswith(NO_NAME)
+    return table.withColumn("customer", F.when(marked, F.concat(F.lit(NO_NAME), customer)).otherwise(customer))
+
+
+def _customer_name(directory: Column) -> Column:
+    return F.when(directory.startswith(NO_NAME), F.substr(directory, F.lit(len(NO_NAME) + 1))).otherwise(directory)
 
 
 def _options(fmt: str, kind: str, namespace: str | None) -> dict[str, str]:
@@ -61,14 +69,12 @@ def write_table(
 
 
 def read_table(spark: SparkSession, path: str, kind: str, fmt: str | None = None, by_customer: bool = False) -> DataFrame:
-    """Read a written table by field name."""
+    """Read a written table by field name, whether a job or a stream wrote it."""
     _, schema = TABLES[kind]
     if by_customer:
         schema = StructType(schema.fields + [StructField("customer", StringType())])
-    table = spark.read.format(fmt or DEFAULT_FORMAT).schema(schema).load(path)
-    if by_customer:
-        table = table.withColumn("customer", F.when(F.col("customer") == NO_NAME, "").otherwise(F.col("customer")))
-    return table
+    table = spark.read.format(fmt or DEFAULT_FORMAT).schema(schema).load(path).select(*schema.names)
+    return table.withColumn("customer", _customer_name(F.col("customer"))) if by_customer else table
 
 
 def stream_table(
@@ -82,17 +88,53 @@ def stream_table(
     interval: str = "10 seconds",
     namespace: str | None = None,
 ):
-    """Append a streaming parsed table to files; returns the running query."""
+    """Append a streaming parsed table to files; returns the running query.
+
+    ``by_customer`` writes each micro-batch like :func:`write_table`, in a folder of its own: a customer with little in a batch gets one
+    file, one with much is split over tasks. A batch that is run again replaces its folder.
+    """
     if kind not in TABLES:
         raise ValueError(f"unknown table kind: {kind!r}")
     fmt = fmt or DEFAULT_FORMAT
-    out = conform(customer_column(table), kind, ("customer",)) if by_customer else conform(table, kind)
-    if by_customer:
-        out = out.repartition("customer")
-    writer = out.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if by_customer:
-        writer = writer.partitionBy("customer")
-    else:
-        writer = writer.options(**_options(fmt, kind, namespace))
-    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start(path)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            write_table(batch, f"{path}/batch={batch_id}", kind, fmt, by_customer=True, mode="overwrite", namespace=namespace)
+
+        writer = table.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        return writer.trigger(**trigger_of(available_now, interval)).start()
+    writer = conform(table, kind).writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.options(**_options(fmt, kind, namespace)).trigger(**trigger_of(available_now, interval)).start(path)
+
+
+# --- good rows and rejects ------------------------------------------------------------------------
+
+
+def write_with_rejects(parsed: DataFrame, path: str, kind: str, mode: str = "append", fmt: str | None = None) -> dict[str, int]:
+    """Write a parsed table with what did not parse beside it, in one pass; returns the rows of each parse status.
+
+    Rows are parsed once and laid out by their status, which is the reason of a reject; counts are observed in the same job.
+    """
+    if kind not in PARSE_STATUSES:
+        raise ValueError(f"no parse job for tables of kind {kind!r}")
+    statuses = PARSE_STATUSES[kind]
+    seen = Observation(f"write {kind}")
+    counts = [F.count_if(F.col("parse_status") == status).alias(status) for status in statuses]
+    counted = parsed.observe(seen, *counts, F.count(F.lit(1)).alias("rows"))
+    conform(counted, kind, ("parse_status",)).write.format(fmt or DEFAULT_FORMAT).mode(mode).partitionBy("parse_status").save(path)
+    return {name: seen.get[name] for name in (*statuses, "rows")}
+
+
+def _by_status(spark: SparkSession, path: str, kind: str, fmt: str | None) -> DataFrame:
+    schema = StructType(TABLES[kind][1].fields + [StructField("parse_status", StringType())])
+    return spark.read.format(fmt or DEFAULT_FORMAT).schema(schema).load(path).select(*schema.names)
+
+
+def read_good(spark: SparkSession, path: str, kind: str, fmt: str | None = None) -> DataFrame:
+    """Rows that parsed in full; the files of others are not opened."""
+    return _by_status(spark, path, kind, fmt).where("parse_status = 'ok'").drop("parse_status")
+
+
+def read_rejects(spark: SparkSession, path: str, kind: str, fmt: str | None = None) -> DataFrame:
+    """Rows that did not, each with the reason in ``parse_status``."""
+    return _by_status(spark, path, kind, fmt).where("parse_status <> 'ok'")

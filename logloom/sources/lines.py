@@ -7,14 +7,18 @@ number of blocks, so work per block or per part stays small however long one str
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logloom.functions.text import decode_bytes, split_lines
+from logloom.functions.text import charset_name, decode_bytes, split_lines
 
 BLOCK_BITS = 14
 PART_BITS = 26
 
+# Bytes in a unit of the wide charsets; where files are cut, and the rest of a newline before that. With the low byte
+# first a newline is all one mark; with the low byte last it starts with zeros like so much else, and the cut is at its last byte.
+WIDE_NEWLINES = {"utf-16-le": (2, b"\n\0", b""), "utf-16-be": (2, b"\n", b"\0"), "utf-32-le": (4, b"\n\0\0\0", b""), "utf-32-be": (4, b"\n", b"\0\0\0")}
+
 
 def number_lines(lines: DataFrame, block_bits: int = BLOCK_BITS, part_bits: int = PART_BITS) -> DataFrame:
     """Lines frame from ``stream, pos, line`` rows, where ``pos`` is a whole number unique in its stream."""
@@ -71,8 +75,11 @@ def read_lines(
     The files of a stream follow each other by path, as text. ``order_of`` maps the columns of file path and modification
     time to another order, such as :func:`rising_suffix`; the path then decides ties.
     """
-    if charset.upper().startswith(("UTF-16", "UTF-32")):
-        # Two- and four-byte charsets cannot be cut at a newline byte.
+    name = charset_name(charset)
+    if name in WIDE_NEWLINES:
+        return read_wide_lines(spark, path, name, stream_of, block_bits, order_of)
+    if name in ("utf-16", "utf-32"):
+        # Only the start of a file tells the order of its bytes. Name it (``UTF-16LE``) to have files read in splits.
         return read_whole_files(spark, path, charset, stream_of, block_bits, order_of)
     stream = stream_of or (lambda file: file)
     row = F.monotonically_increasing_id()
@@ -96,6 +103,80 @@ def _order(order_of, path: Column, modified: Column) -> Column:
     return F.lit("") if order_of is None else order_of(path, modified)
 
 
+def read_wide_lines(
+    spark: SparkSession, path: str | list[str], charset: str, stream_of=None, block_bits: int = BLOCK_BITS, order_of=None
+) -> DataFrame:
+    """Lines of files whose characters have two or four bytes, read in splits like others.
+
+    Files are cut at the bytes of a newline wherever they stand. Such bytes may also be part of other characters, or the end of one and the
+    start of the next. In a file where every piece is a whole number of units and ends like a line, every cut is a newline; its lines
+    are ready, without a shuffle. In the others (some scripts have such characters) lengths are added up, by split and
+    over splits, and pieces are joined up to the next cut that is a newline.
+    """
+    unit, mark, rest = WIDE_NEWLINES[charset]
+    stream = stream_of or (lambda file: file)
+    size = F.octet_length("piece")
+    ends = F.substring("piece", -len(rest), len(rest)) == F.lit(rest) if rest else F.lit(True)
+    raw = spark.read.text(path, lineSep=mark.decode()).select(
+        F.col("_metadata.file_path").alias("file"),
+        _order(order_of, F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("order"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_size").alias("size"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").cast("binary").alias("piece"),
+    )
+    regular = ends & ((size + len(mark)) % unit == 0)
+    last = F.struct(regular.alias("regular"), (size % unit == 0).alias("whole"))
+    splits = raw.groupBy("file", "start").agg(
+        F.sum(size + len(mark)).alias("bytes"), F.count_if(~regular).alias("odd"), F.max_by(last, "row").alias("last"), F.max("size").alias("size"))
+    by_file = Window.partitionBy("file")
+    before = F.sum("bytes").over(by_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    end = F.max(F.struct("start", "last")).over(by_file)["last"]
+    # The last piece of a file need not end like a line.
+    plain = F.sum("odd").over(by_file) <= F.when(end["whole"] & ~end["regular"], 1).otherwise(0)
+    mixed = splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), F.coalesce(before, F.lit(0)).alias("before"),
+                          (F.sum("bytes").over(by_file) == F.col("size")).alias("closed"), plain.alias("plain"))
+    mixed = mixed.where("NOT plain").drop("plain")
+    ready = raw.join(mixed.select("_file").distinct(), F.col("file") == F.col("_file"), "left_anti").withColumn("ended", regular)
+    joined = _joined_pieces(raw.join(mixed, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start"))), unit, mark, ends)
+    parts = []
+    for pieces in (ready, joined):
+        line = F.when(F.col("ended"), F.substr(F.col("piece"), F.lit(1), size - len(rest))).otherwise(F.col("piece"))
+        lines = pieces.select("file", "order", "start", _wide_lines(line, charset))
+        parts.append(lines.withColumn("pos", F.monotonically_increasing_id()))
+    return parts[0].unionByName(parts[1]).select(
+        stream(F.col("file")).alias("stream"), F.struct("order", "file", "start").alias("part"),
+        F.shiftright("pos", block_bits).alias("block"), "pos", "line")
+
+
+def _wide_lines(piece: Column, charset: str) -> Column:
+    r"""The lines of a piece between newlines; ``\r`` ends a line too, and one at the end belongs to the newline."""
+    return F.explode(F.split(F.regexp_replace(decode_bytes(piece, charset), r"\r\z", ""), r"\r", -1)).alias("line")
+
+
+def _joined_pieces(pieces: DataFrame, unit: int, mark: bytes, ends: Column) -> DataFrame:
+    """Pieces of files in which not every cut is a newline, joined up to the next one that is: ``file, order, start, piece, ended``, in order.
+
+    The last one of a ``closed`` file has a cut behind it, which is part of its text if it is no newline.
+    """
+    in_split = Window.partitionBy("file", "start").orderBy("row")
+    place = F.col("before") + F.sum(F.octet_length("piece") + len(mark)).over(in_split)
+    marked = pieces.withColumn("ended", ends & (place % unit == 0))
+    counts = marked.groupBy("file", "start").agg(F.count_if("ended").alias("n"))
+    ahead = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.col("file").alias("_f"), F.col("start").alias("_s"), F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    inside = F.coalesce(F.sum(F.col("ended").cast("bigint")).over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = marked.withColumn("inside", inside).join(counts, (F.col("file") == F.col("_f")) & (F.col("start") == F.col("_s")))
+    groups = numbered.groupBy("file", "order", (F.col("ahead") + F.col("inside")).alias("number")).agg(
+        F.sort_array(F.collect_list(F.struct("start", "row", "piece"))).alias("pieces"), F.max("ended").alias("ended"), F.first("closed").alias("closed"))
+    between = mark.hex().upper()
+    hexes = F.array_join(F.transform("pieces", lambda p: F.hex(p["piece"])), between)
+    hexes = F.concat(hexes, F.when(~F.col("ended") & F.col("closed"), between).otherwise(""))
+    whole = groups.select("file", "order", F.element_at("pieces", 1)["start"].alias("start"), "number", F.unhex(hexes).alias("piece"), "ended")
+    # By file and split again, so that ids given to the rows rise in the order of the lines.
+    return whole.repartition("file", "start").sortWithinPartitions("file", "start", "number").drop("number")
+
+
 def read_whole_files(
     spark: SparkSession, path: str | list[str], charset: str = "UTF-8", stream_of=None, block_bits: int = BLOCK_BITS, order_of=None
 ) -> DataFrame:

@@ -281,3 +281,20 @@ def test_other_charsets(spark):
         df = spark.createDataFrame([(text.encode(charset),), (b"\x81\xff\xfe",), (None,)], "b binary")
         got = [row[0] for row in df.select(decode_bytes(F.col("b"), charset)).collect()]
         assert got[0] == text and got[2] is None and isinstance(got[1], str)
+
+
+@pytest.mark.parametrize("charset", ["UTF-16LE", "UTF-16BE", "UTF-32LE", "UTF-32BE", "UTF-16", "UTF-32", "windows-1252", "KOI8-R", "cp037", "US-ASCII", "latin1"])
+def test_decoding_against_codecs(spark, charset):
+    """Well-formed, cut short and random bytes; no Python in the plan."""
+    rng = random.Random(1)
+    values = [b"", b"\xff\xfe", b"\xfe\xff\x00a", b"\xff\xfea\x00", b"\xff\xfe\x00\x00a\x00\x00\x00", b"\x00\x00\xfe\xff\x00\x00\x00a"]
+    for text in ("héllo 漢字 😀\n", "\ufeffx", "a😀b"):
+        for other in ("utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be"):
+            data = text.encode(other)
+            values += [data, data[:-1], data[1:], data[:3] + data[4:]]
+    values += [bytes(rng.choice([0, 0, 0, 0xD8, 0xDC, 0xDF, 0x41, 0x0A, rng.randrange(256)]) for _ in range(rng.randint(0, 17))) for _ in range(300)]
+    values.append("x😀".encode("utf-16-le") * 100_000)
+    decoded = spark.createDataFrame([(i, bytearray(value)) for i, value in enumerate(values)], "i int, b binary").select("i", decode_bytes(F.col("b"), charset).alias("s"))
+    assert "ArrowEvalPython" not in decoded._jdf.queryExecution().executedPlan().toString()
+    for row in decoded.collect():
+        assert row.s == values[row.i].decode(charset, "replace")

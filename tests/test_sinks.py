@@ -9,7 +9,7 @@ from logloom.operators.access_log import parse_access_log
 from logloom.operators.app_log import parse_app_log
 from logloom.plans.tables import access_log_table, app_log_table, syslog_table
 from logloom.schemas import TABLES, avro_schema
-from logloom.sinks.tables import read_table, stream_table, write_table
+from logloom.sinks.tables import read_good, read_rejects, read_table, stream_table, write_table, write_with_rejects
 
 BODIES = ["[#|2021-09-17T04:05:59.041+0230|FINE|s|c|t|one|#]", "plain", "", "x|bad|INFO|rest"]
 
@@ -102,3 +102,53 @@ def test_customer_without_a_name(spark, tmp_path):
     back = read_table(spark, str(tmp_path / "t"), "app", by_customer=True)
     assert [row.original for row in back.where("customer = ''").collect()] == ["one"]
     assert {row.customer for row in back.select("customer").collect()} == {"", "UNKNOWN"}
+
+
+def test_names_that_directories_treat_otherwise(spark, tmp_path):
+    names = ["", "__EMPTY__", "__EMPTY____EMPTY__", "__HIVE_DEFAULT_PARTITION__", "a/b=c %", "UNKNOWN", "__EMPTY", " "]
+    events = spark.createDataFrame([({"customer": name}, f"body {i}") for i, name in enumerate(names)], "headers map<string,string>, body string")
+    write_table(parse_app_log(events), str(tmp_path / "t"), "app", by_customer=True)
+    back = read_table(spark, str(tmp_path / "t"), "app", by_customer=True)
+    assert {row.original: row.customer for row in back.collect()} == {f"body {i}": name for i, name in enumerate(names)}
+    for i, name in enumerate(names):
+        assert [row.original for row in back.where(F.col("customer") == name).collect()] == [f"body {i}"]
+
+
+def test_streamed_files_by_customer(spark, tmp_path):
+    """A batch has one file for each small customer; a hot one is split over tasks."""
+    source = tmp_path / "in"
+    source.mkdir()
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    try:
+        for batch in range(2):
+            spark.range(6000).selectExpr(f"concat(if(id % 3 = 0, 'hot', concat('c', id % 10)), '|', sha2(string(id + {batch * 6000}), 256)) AS value").repartition(8).write.mode("append").text(str(source))
+            lines = spark.readStream.text(str(source))
+            customer = F.substring_index("value", "|", 1)
+            events = lines.select(F.create_map(F.lit("customer"), customer).alias("headers"), F.col("value").alias("body"))
+            for _ in range(2):  # the second run finds nothing new
+                stream_table(parse_app_log(events), str(tmp_path / "t"), "app", str(tmp_path / "cp"), by_customer=True, available_now=True).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert read_table(spark, str(tmp_path / "t"), "app", by_customer=True).count() == 12000
+    for batch in range(2):
+        files = {folder.name: len(list(folder.glob("part-*"))) for folder in (tmp_path / "t" / f"batch={batch}").iterdir() if folder.is_dir()}
+        assert len(files) == 11 and files["customer=hot"] > 2
+        # Rebalanced: most small customers are in one file, those that share a partition with the hot one in some of its pieces.
+        small = sorted(n for name, n in files.items() if name != "customer=hot")
+        assert small[5] == 1 and small[-1] <= files["customer=hot"]
+
+
+def test_rejects_in_one_pass(spark, tmp_path):
+    events = spark.createDataFrame([({}, "nope"), ({}, "")], "headers map<string,string>, body string")
+    for mode in ("overwrite", "append"):
+        counts = write_with_rejects(app_rows(spark), str(tmp_path / "t"), "app", mode)
+        assert counts == {"ok": 1, "bad_time": 1, "no_match": 2, "rows": 4}
+    good, bad = read_good(spark, str(tmp_path / "t"), "app"), read_rejects(spark, str(tmp_path / "t"), "app")
+    assert good.columns == TABLES["app"][1].names and [row.original for row in good.collect()] == [BODIES[0]] * 2
+    assert sorted((row.original, row.parse_status) for row in bad.collect()) == sorted([("plain", "no_match"), ("", "no_match"), ("x|bad|INFO|rest", "bad_time")] * 2)
+    assert re.search(r"PartitionFilters: \[[^\]]*parse_status", good._jdf.queryExecution().executedPlan().toString())
+    assert write_with_rejects(parse_access_log(events), str(tmp_path / "a"), "access") == {"ok": 0, "no_match": 2, "rows": 2}
+    assert read_good(spark, str(tmp_path / "a"), "access").count() == 0
+    with pytest.raises(ValueError):
+        write_with_rejects(events, str(tmp_path / "b"), "event")
