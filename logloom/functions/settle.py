@@ -6,6 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def settle_on_demand(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows, with the named columns computed at most once per row, and not at all where no later step reads them.
+
+    They are held back by a condition that is always true but may not be moved or copied. Filters, on whatever column, then stay
+    above them; use :func:`settle` where filters on other columns should come first.
+    """
+    held = {name: F.when(F.spark_partition_id() >= 0, F.col(name)) for name in names}
+    return df.select(*[held[name].alias(name) if name in held else F.col(name) for name in df.columns])
+
+
 def settle(df: DataFrame, *names: str) -> DataFrame:
     """The same rows, with the named columns computed exactly once per row.
 

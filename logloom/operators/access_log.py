@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.settle import settle
+from logloom.functions.settle import settle_on_demand
 from logloom.functions.times import access_time
 from logloom.operators.events import text_body
 from logloom.schemas import ACCESS_FIELDS, conform
@@ -25,8 +25,8 @@ SAFE_BREAK = '" '
 def parse_access_log(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse ``headers, body``; a line of another form keeps ``original`` and gets defaults and ``no_match``.
 
-    ``keep`` names further columns to carry along. The line is matched once: the match is rewritten to its groups with breaks between them, and a
-    line that does not match comes back unchanged.
+    ``keep`` names further columns to carry along. The line is matched at most once, and not at all where no field is read: the match is
+    rewritten to its groups with breaks between them, and a line that does not match comes back unchanged.
     """
     lines = text_body(events).withColumnRenamed("body", "original")
     original, flat = F.col("original"), F.col("_flat")
@@ -38,7 +38,8 @@ def parse_access_log(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 
     cut = F.when(odd, F.split(flat, SAFE_BREAK, -1)).otherwise(F.split(flat, FAST_BREAK, -1))
     matched = lines.withColumn("_flat", F.when(odd, rewritten(SAFE_BREAK)).otherwise(rewritten(FAST_BREAK)))
-    parts = settle(matched.withColumn("_parts", F.when(flat != original, cut)), "_parts")
+    flattened = settle_on_demand(matched, "_flat")
+    parts = settle_on_demand(flattened.withColumn("_parts", F.when(flat != original, cut)), "_parts")
     fields = [F.get("_parts", F.lit(i)) for i in range(len(ACCESS_FIELDS))]
     typed = [
         (value.try_cast("int") if name == "statuscode" else value).alias(name)

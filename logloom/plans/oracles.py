@@ -280,6 +280,7 @@ ORACLES = {
         FROM ranked WHERE NOT (line = '' AND rn = 1) GROUP BY doc_id
         UNION ALL SELECT 'document ' || doc_id || ' |#]', 1 FROM documents)
       SELECT body, n_lines, count(*) AS n FROM bodies GROUP BY ALL""",
+    "s1_rolled_files": _events("' § '") + " SELECT stream, body, n_lines, count(*) AS n FROM events GROUP BY ALL",
     "s2_charset": "SELECT conv_id, turn, text AS little, text AS big, text AS utf8 FROM conversations",
     "s2_charset_files": """SELECT charset, line, count(*) AS n
       FROM (SELECT unnest(string_split(CASE doc_id % 2 WHEN 1 THEN text || chr(10) || 'Ċ漊ĀਅĀ' || chr(10) ELSE text END, chr(10))) AS line FROM documents),

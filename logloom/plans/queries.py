@@ -23,7 +23,7 @@ from logloom.plans.render import table
 from logloom.plans.scratch import new_folder
 from logloom.schemas import ACCESS_FIELDS, APP_FIELDS
 from logloom.sinks.tables import read_good, read_rejects, read_table, stream_table, write_table, write_with_rejects
-from logloom.sources.lines import read_chunk_stream, read_lines
+from logloom.sources.lines import falling_suffix, parent_directory, read_chunk_stream, read_lines
 from logloom.streaming.assemble import assemble_to, read_events
 from logloom.streaming.jobs import REFRESH, BatchCounts, append_refreshed, count_stream_events
 
@@ -62,6 +62,21 @@ def s1_files_to_events(spark, sf_dir):
     return events.groupBy("body", "n_lines").agg(n_rows("n"))
 
 
+def s1_rolled_files(spark, sf_dir):
+    """The documents of each source as 13 log files that were renamed as they aged and compressed, assembled across files."""
+    rolls = 13
+    docs = table(spark, sf_dir, "documents")
+    age = rolls - 1 - F.floor(F.col("doc_id") * rolls / (docs.agg(F.max("doc_id")).scalar() + 1))
+    name = F.when(age == 0, "log").otherwise(F.concat(F.lit("log."), age.cast("string")))
+    rows = docs.select("source", name.alias("file"), "doc_id", F.array_join(render.doc_line_array(), "\n").alias("value"))
+    ordered = rows.repartition("source", "file").sortWithinPartitions("source", "file", "doc_id").drop("doc_id")
+    folder = new_folder(spark, "rolled")
+    ordered.write.partitionBy("source", "file").text(folder, compression="gzip")
+    by_name = lambda path, modified: falling_suffix(parent_directory(path), modified)
+    lines = read_lines(spark, f"{folder}/source=*/file=*", stream_of=_source_of, order_of=by_name)
+    return assemble_events(lines, FULL_STOP).groupBy("stream", "body", "n_lines").agg(n_rows("n"))
+
+
 def s2_charset(spark, sf_dir):
     said = table(spark, sf_dir, "conversations")
     return said.select(
@@ -488,6 +503,7 @@ QUERIES = {
     for query in (
         s1_read_lines,
         s1_files_to_events,
+        s1_rolled_files,
         s2_charset,
         s2_charset_files,
         s3_assemble_events,

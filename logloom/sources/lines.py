@@ -19,6 +19,9 @@ PART_BITS = 26
 # first a newline is all one mark; with the low byte last it starts with zeros like so much else, and the cut is at its last byte.
 WIDE_NEWLINES = {"utf-16-le": (2, b"\n\0", b""), "utf-16-be": (2, b"\n", b"\0"), "utf-32-le": (4, b"\n\0\0\0", b""), "utf-32-be": (4, b"\n", b"\0\0\0")}
 
+# Endings of names of compressed files.
+COMPRESSED = r"\.(gz|bz2|zst|xz|lz4|snappy|deflate)\z"
+
 
 def number_lines(lines: DataFrame, block_bits: int = BLOCK_BITS, part_bits: int = PART_BITS) -> DataFrame:
     """Lines frame from ``stream, pos, line`` rows, where ``pos`` is a whole number unique in its stream."""
@@ -37,20 +40,30 @@ def parent_directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/[^/]*\z", "")
 
 
-def rising_suffix(path: Column, modified: Column) -> Column:
-    """Order of rolled files whose last number rises (``log.1, log.2, log.10``); a file without one is the newest.
+def _natural(path: Column, falling: bool) -> Column:
+    """Sort key of a file's name: its numbers count as numbers of any length, an ending of compression does not count.
 
-    The number's length comes first, so that numbers of any length are in order as text.
+    A name that goes on after another one ends (``log.1`` and ``log``) is the older file.
     """
-    number = F.regexp_extract(path, r"([0-9]+)\z", 1)
-    plain = F.regexp_replace(number, r"\A0+(?=[0-9])", "")
-    return F.when(number == "", "~").otherwise(F.concat(F.lpad(F.length(plain).cast("string"), 6, "0"), plain))
+    name = F.regexp_replace(F.regexp_extract(path, r"([^/]*)\z", 1), COMPRESSED, "")
+    turned = (lambda digits: F.translate(digits, "0123456789", "9876543210")) if falling else (lambda digits: digits)
+
+    def part(text: Column) -> Column:
+        digits = F.regexp_replace(text, r"\A0+(?=[0-9])", "")
+        # The number's length comes first, so that numbers are in order as text.
+        return F.when(text.rlike("[0-9]"), turned(F.concat(F.lpad(F.length(digits).cast("string"), 6, "0"), digits))).otherwise(text)
+
+    return F.concat(F.array_join(F.transform(F.regexp_extract_all(name, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1)), part), ""), F.lit("~"))
+
+
+def rising_suffix(path: Column, modified: Column) -> Column:
+    """Order of rolled files whose numbers rise (``log.1, log.2.gz, log.10, log`` or ``log-2024-01-31, log-2024-02-01.gz, log``)."""
+    return _natural(path, False)
 
 
 def falling_suffix(path: Column, modified: Column) -> Column:
-    """Order of rolled files that are renamed as they age (``log.10, log.2, log.1, log``), for numbers of up to 38 digits."""
-    number = F.regexp_extract(path, r"([0-9]+)\z", 1)
-    return -F.when(number == "", F.lit(-1)).otherwise(number).cast("decimal(38,0)")
+    """Order of rolled files that are renamed as they age (``log.10.gz, log.2.gz, log.1, log``)."""
+    return _natural(path, True)
 
 
 def modification_order(path: Column, modified: Column) -> Column:
@@ -121,21 +134,20 @@ def read_wide_lines(
         F.col("_metadata.file_path").alias("file"),
         _order(order_of, F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("order"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("row"),
         F.col("value").cast("binary").alias("piece"),
     )
     regular = ends & ((size + len(mark)) % unit == 0)
     last = F.struct(regular.alias("regular"), (size % unit == 0).alias("whole"))
     splits = raw.groupBy("file", "start").agg(
-        F.sum(size + len(mark)).alias("bytes"), F.count_if(~regular).alias("odd"), F.max_by(last, "row").alias("last"), F.max("size").alias("size"))
+        F.sum(size + len(mark)).alias("bytes"), F.count_if(~regular).alias("odd"), F.max_by(last, "row").alias("last"))
     by_file = Window.partitionBy("file")
     before = F.sum("bytes").over(by_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     end = F.max(F.struct("start", "last")).over(by_file)["last"]
     # The last piece of a file need not end like a line.
     plain = F.sum("odd").over(by_file) <= F.when(end["whole"] & ~end["regular"], 1).otherwise(0)
     mixed = splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), F.coalesce(before, F.lit(0)).alias("before"),
-                          (F.sum("bytes").over(by_file) == F.col("size")).alias("closed"), plain.alias("plain"))
+                          (F.sum("bytes").over(by_file) % unit == 0).alias("closed"), plain.alias("plain"))
     mixed = mixed.where("NOT plain").drop("plain")
     ready = raw.join(mixed.select("_file").distinct(), F.col("file") == F.col("_file"), "left_anti").withColumn("ended", regular)
     joined = _joined_pieces(raw.join(mixed, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start"))), unit, mark, ends)

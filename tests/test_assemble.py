@@ -1,3 +1,4 @@
+import gzip
 import os
 import random
 import re
@@ -213,3 +214,27 @@ def test_text_is_read_once(spark, tmp_path):
         plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert len(re.findall("FileScan text", plan)) == 1
         assert "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("order, names", [
+    (rising_suffix, ["log.1", "log.2.gz", "log.10", "log.11.gz", "log"]),
+    (rising_suffix, ["log-2023-12-31.gz", "log-2024-01-31", "log-2024-02-01.2.gz", "log-2024-02-01.10", "log-2024-02-01.gz", "log"]),
+    (rising_suffix, ["server2.log.09", "server2.log.10.bz2", "server2.log.99999999999999999999998", "server2.log.99999999999999999999999.zst", "server2.log"]),
+    (falling_suffix, ["log.100.gz", "log.12.gz", "log.11", "log.2.gz", "log.1", "log"]),
+    (falling_suffix, ["server2.log.10.xz", "server2.log.9.xz", "server2.log.1", "server2.log"]),
+])
+def test_order_of_names(spark, order, names):
+    shuffled = random.Random(1).sample(names, len(names))
+    paths = spark.createDataFrame([(f"/logs/5/{name}",) for name in shuffled], "path string")
+    got = [row.path.rsplit("/", 1)[1] for row in paths.orderBy(order(F.col("path"), F.lit(None))).collect()]
+    assert got == names
+
+
+def test_compressed_files_in_order(spark, tmp_path):
+    names = [f"log.{i}.gz" for i in range(12, 1, -1)] + ["log.1", "log"]
+    for i, name in enumerate(names):
+        data = f"x{i}\n{'end#' + chr(10) if i % 4 == 0 else ''}".encode()
+        (tmp_path / name).write_bytes(gzip.compress(data) if name.endswith("gz") else data)
+    lines = read_lines(spark, str(tmp_path), stream_of=parent_directory, order_of=falling_suffix)
+    got = [row.body for row in assemble_events(lines, "#", "~").orderBy("part", "block", "pos").collect()]
+    assert got == ["x0~end#", "x1~x2~x3~x4~end#", "x5~x6~x7~x8~end#", "x9~x10~x11~x12~end#"]

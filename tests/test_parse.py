@@ -298,3 +298,17 @@ def test_decoding_against_codecs(spark, charset):
     assert "ArrowEvalPython" not in decoded._jdf.queryExecution().executedPlan().toString()
     for row in decoded.collect():
         assert row.s == values[row.i].decode(charset, "replace")
+
+
+def test_access_fields_are_parsed_on_demand(spark):
+    events = spark.createDataFrame([({"a": "b"}, "nope")], "headers map<string,string>, body string")
+
+    def plan(df):
+        df.collect()
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    parsed = parse_access_log(events)
+    assert "regexp_replace" not in plan(parsed.select("headers")) and "regexp_replace" not in plan(parsed.agg(F.count(F.lit(1))))
+    # Once for each of the two breaks, however many fields are read and filtered by.
+    for df in (parsed, parsed.where("statuscode > 1 AND method = 'GET' AND parse_status = 'ok'").select("ip", "uri")):
+        assert plan(df).count("regexp_replace(") == 2
