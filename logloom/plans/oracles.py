@@ -366,6 +366,12 @@ ORACLES = {
       SELECT loglevel, classname, count(*) AS n, max("timestamp") AS latest FROM app_parsed GROUP BY ALL""",
     "k6_container_formats": f"""WITH {ACCESS_PARSED}
       SELECT statuscode, method, count(*) AS n, format FROM access_parsed, (VALUES ('parquet'), ('orc')) f(format) GROUP BY ALL""",
+    "k6_avro": f"""WITH {ACCESS_PARSED}, {APP_PARSED}, {SYSLOG_PARSED},
+      all_rows AS (
+        SELECT 'event' AS kind, 'role=' || role || ';turn=' || turn AS headers, text AS t, 0::BIGINT AS number FROM conversations
+        UNION ALL SELECT 'access', headers, original, statuscode FROM access_parsed
+        UNION ALL SELECT 'app', headers, original, "timestamp" FROM app_parsed UNION ALL SELECT 'syslog', headers, original, "timestamp" FROM syslog_parsed)
+      SELECT kind, headers, count(*) AS n, sum(length(t))::BIGINT AS chars, sum(number)::BIGINT AS numbers FROM all_rows GROUP BY ALL""",
     "k7_by_customer": f"""WITH {APP_CUSTOMER}
       SELECT customer, 'customer=' || customer || ';' || headers AS headers, original, "timestamp", message
       FROM app_customers WHERE customer = 'ASIA'""",

@@ -465,6 +465,23 @@ def k6_container_formats(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+def k6_avro(spark, sf_dir):
+    """All four kinds of records from container files with small blocks, read in many splits: rows, and what their texts and numbers add up to."""
+    logs = {
+        "event": string_events(_said(spark, sf_dir)), "access": parse_access_log(render.access_events(spark, sf_dir)),
+        "app": parse_app_log(render.app_events(spark, sf_dir)), "syslog": _syslog(spark, sf_dir, keep=())}
+    splits = spark.newSession()
+    splits.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    found = []
+    for kind, parsed in logs.items():
+        folder = new_folder(spark, f"{kind}-avro")
+        write_table(parsed, folder, kind, "avro", sync_interval=4096)
+        back = read_table(splits, folder, kind, "avro")
+        text, number = {"event": ("body", F.lit(0)), "access": ("original", F.col("statuscode"))}.get(kind, ("original", F.col("timestamp")))
+        found.append(back.select(F.lit(kind).alias("kind"), header_line(), F.length(text).alias("length"), number.cast("bigint").alias("number")))
+    return reduce(DataFrame.unionByName, found).groupBy("kind", "headers").agg(n_rows("n"), F.sum("length").alias("chars"), F.sum("number").alias("numbers"))
+
+
 def k7_by_customer(spark, sf_dir):
     registry = registry_from_lines(render.nation_registry_lines(spark, sf_dir))
     parsed = parse_app_log(add_customer(render.app_events(spark, sf_dir), registry))
@@ -544,6 +561,7 @@ QUERIES = {
         k4_syslog_table,
         k5_read_by_field,
         k6_container_formats,
+        k6_avro,
         k7_by_customer,
         k7_all_customers,
         k7_stream_by_customer,

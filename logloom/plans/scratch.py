@@ -34,6 +34,12 @@ def _path(spark: SparkSession, folder: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that is written anew."""
+    files, found = _path(spark, path)
+    files.delete(found, True)
+
+
 def exists(spark: SparkSession, folder: str) -> bool:
     """Whether a folder or file is there, on whatever file system its path names."""
     files, path = _path(spark, folder)

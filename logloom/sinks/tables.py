@@ -10,13 +10,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from logloom.functions.headers import header_get
 from logloom.operators.enrich import CUSTOMER_HEADER, UNKNOWN
-from logloom.schemas import PARSE_STATUSES, TABLES, avro_schema, conform
+from logloom.schemas import PARSE_STATUSES, TABLES, conform
+from logloom.sinks.avro import read_avro, write_avro
 from logloom.streaming.jobs import trigger_of
 
 log = logging.getLogger(__name__)
 
 
-# The container format where none is asked for. Avro needs the ``spark-avro`` package in the session.
+# The container format where none is asked for. Avro containers are :mod:`logloom.sinks.avro`'s.
 DEFAULT_FORMAT = "parquet"
 # Directory names that Spark gives a meaning of its own: "" and its name for null would both be read back as null. Such names, and
 # those that start like this mark, are written behind the mark.
@@ -35,10 +36,6 @@ def _customer_name(directory: Column) -> Column:
     return F.when(directory.startswith(NO_NAME), F.substr(directory, F.lit(len(NO_NAME) + 1))).otherwise(directory)
 
 
-def _options(fmt: str, kind: str, namespace: str | None) -> dict[str, str]:
-    return {"avroSchema": avro_schema(kind, namespace)} if fmt == "avro" else {}
-
-
 def write_table(
     table: DataFrame,
     path: str,
@@ -51,25 +48,31 @@ def write_table(
 ) -> str:
     """Write a parsed table (``event``, ``access``, ``app`` or ``syslog``); returns the format used.
 
-    ``by_customer`` lays it out in one directory per customer. Rows are first rebalanced by customer:
+    ``sync_interval`` is the bytes of a block of ``avro`` containers. ``by_customer`` lays the table out in one directory per customer. Rows are first rebalanced by customer:
     small customers end up in one file each, a customer with much data is split over many tasks.
     """
     if kind not in TABLES:
         raise ValueError(f"unknown table kind: {kind!r}")
     fmt = fmt or DEFAULT_FORMAT
+    if fmt == "avro":
+        if by_customer:
+            raise ValueError("container files are not laid out by customer")
+        write_avro(table, path, kind, mode, namespace, sync_interval)
+        return fmt
     if sync_interval is not None:
         log.info("block size is set by the %s writer: sync_interval=%s is not used", fmt, sync_interval)
     if by_customer:
         out = conform(customer_column(table), kind, ("customer",)).hint("rebalance", "customer")
-        # The partition column is not part of the record, so Spark's own schema is right here.
         out.write.format(fmt).mode(mode).partitionBy("customer").save(path)
     else:
-        conform(table, kind).write.format(fmt).mode(mode).options(**_options(fmt, kind, namespace)).save(path)
+        conform(table, kind).write.format(fmt).mode(mode).save(path)
     return fmt
 
 
 def read_table(spark: SparkSession, path: str, kind: str, fmt: str | None = None, by_customer: bool = False) -> DataFrame:
     """Read a written table by field name, whether a job or a stream wrote it."""
+    if fmt == "avro":
+        return read_avro(spark, path, kind)
     _, schema = TABLES[kind]
     if by_customer:
         schema = StructType(schema.fields + [StructField("customer", StringType())])
@@ -91,20 +94,21 @@ def stream_table(
     """Append a streaming parsed table to files; returns the running query.
 
     ``by_customer`` writes each micro-batch like :func:`write_table`, in a folder of its own: a customer with little in a batch gets one
-    file, one with much is split over tasks. A batch that is run again replaces its folder.
+    file, one with much is split over tasks. A batch that is run again replaces its folder. Container files (``fmt="avro"``) have a folder
+    for each batch as well, each a table of its own.
     """
     if kind not in TABLES:
         raise ValueError(f"unknown table kind: {kind!r}")
     fmt = fmt or DEFAULT_FORMAT
-    if by_customer:
+    if by_customer or fmt == "avro":
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            write_table(batch, f"{path}/batch={batch_id}", kind, fmt, by_customer=True, mode="overwrite", namespace=namespace)
+            write_table(batch, f"{path}/batch={batch_id}", kind, fmt, by_customer, "overwrite", namespace)
 
         writer = table.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         return writer.trigger(**trigger_of(available_now, interval)).start()
     writer = conform(table, kind).writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.options(**_options(fmt, kind, namespace)).trigger(**trigger_of(available_now, interval)).start(path)
+    return writer.trigger(**trigger_of(available_now, interval)).start(path)
 
 
 # --- good rows and rejects ------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from logloom.operators.access_log import parse_access_log
 from logloom.operators.app_log import parse_app_log
 from logloom.plans.tables import access_log_table, app_log_table, syslog_table
 from logloom.schemas import TABLES, avro_schema
+from logloom.sinks.avro import read_avro, write_avro
 from logloom.sinks.tables import read_good, read_rejects, read_table, stream_table, write_table, write_with_rejects
 
 BODIES = ["[#|2021-09-17T04:05:59.041+0230|FINE|s|c|t|one|#]", "plain", "", "x|bad|INFO|rest"]
@@ -151,3 +152,102 @@ def test_rejects_in_one_pass(spark, tmp_path):
     assert read_good(spark, str(tmp_path / "a"), "access").count() == 0
     with pytest.raises(ValueError):
         write_with_rejects(events, str(tmp_path / "b"), "event")
+
+
+def decoded(data):
+    """Blocks of a container file by the letter of the format: (schema, codec, marker, [(count, bytes of records)])."""
+    at = 4
+
+    def number():
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value, shift = value | (byte & 127) << shift, shift + 7
+            if byte < 128:
+                return (value >> 1) ^ -(value & 1)
+
+    def text():
+        nonlocal at
+        size = number()
+        at += size
+        return data[at - size : at]
+
+    assert data[:4] == b"Obj\x01"
+    n = number()
+    header = {text(): text() for _ in range(n)}
+    assert number() == 0
+    marker, blocks = data[at : at + 16], []
+    at += 16
+    while at < len(data):
+        blocks.append((number(), text()))
+        assert data[at : at + 16] == marker
+        at += 16
+    return json.loads(header[b"avro.schema"]), header[b"avro.codec"].decode(), marker, blocks
+
+
+ODD_TEXTS = ["", "é漢😀", "\n\r\0", "x" * 63, "x" * 64, "y" * 8191, "y" * 8192, "z" * 1_100_000, "Obj\x01"]
+
+
+@pytest.mark.parametrize("codec", ["null", "deflate"])
+def test_containers(spark, tmp_path, codec):
+    numbers = [0, -1, 1, 63, 64, -64, -65, 2**31 - 1, 2**62, -(2**63), 2**63 - 1]
+    rows = [({f"k{j}": ODD_TEXTS[j] for j in range(i % 7)}, text, numbers[i % 11], *[f"f{i}"] * 6) for i, text in enumerate(ODD_TEXTS * 12)]
+    table = spark.createDataFrame(rows, TABLES["app"][1]).repartition(3)
+    path = tmp_path / "t"
+    for _ in range(2):
+        write_avro(table, str(path), "app", namespace="com.example", sync_interval=1000, codec=codec)
+    back = read_avro(spark, str(path), "app")
+    assert back.schema == TABLES["app"][1]
+    key = lambda row: repr(sorted(row["headers"].items())) + repr(row[1:])
+    assert sorted(back.collect(), key=key) == sorted(table.collect() * 2, key=key)
+    markers, n = set(), 0
+    for file in path.glob("part-*"):
+        schema, name, marker, blocks = decoded(file.read_bytes())
+        assert schema == json.loads(avro_schema("app", "com.example")) and name == codec
+        markers.add(marker)
+        n += sum(count for count, _ in blocks)
+        if codec == "null":  # closed by the record that reaches the interval
+            assert all(len(data) >= 1000 for _, data in blocks[:-1]) and all(count == 1 or len(data) < 2_300_000 for count, data in blocks)
+    assert len(markers) == 1 and n == 2 * len(rows)
+    write_avro(table.limit(1), str(path), "app", "overwrite")
+    assert read_avro(spark, str(path), "app").count() == 1
+
+
+def test_containers_in_splits_and_by_name(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    table = parse_app_log(spark.createDataFrame([({"customer": "c"}, f"x|y|{i}") for i in range(5000)], "headers map<string,string>, body string")).coalesce(1)
+    assert write_table(table, path, "app", "avro", sync_interval=500) == "avro"
+    splits = spark.newSession()
+    splits.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    splits.conf.set("spark.sql.files.openCostInBytes", "1")
+    back = read_table(splits, path, "app", "avro")
+    assert back.rdd.getNumPartitions() > 20 and back.select("original").distinct().count() == back.count() == 5000
+    # A reader of another kind takes the fields it knows; the others have their defaults.
+    other = read_table(spark, path, "syslog", "avro").where("original = 'x|y|7'").collect()
+    assert [(row.headers, row.message, row.hostname) for row in other] == [({"customer": "c"}, "7", "")]
+    assert read_table(spark, path, "access", "avro").where("statuscode <> 0 OR ip <> ''").count() == 0
+    small, large = tmp_path / "small", tmp_path / "large"
+    for folder, interval in ((small, 300), (large, 30_000)):
+        write_table(table, str(folder), "app", "avro", sync_interval=interval)
+    counts = [len(decoded(next(folder.glob("part-*")).read_bytes())[3]) for folder in (small, large)]
+    assert counts[0] > 50 * counts[1]
+
+
+def test_empty_and_refused_containers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(app_rows(spark).where("false"), path, "app", "avro")
+    assert read_table(spark, path, "app", "avro").collect() == []
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, str(tmp_path / "none"), "app", "avro")
+    for options in ({"codec": "snappy"}, {"mode": "ignore"}):
+        with pytest.raises(ValueError):
+            write_avro(app_rows(spark), path, "app", **options)
+    with pytest.raises(ValueError):
+        write_table(app_rows(spark), path, "app", "avro", by_customer=True)
+    # A text that holds the table's marker is refused when read, not read wrongly.
+    marker = spark.read.text(f"{path}/_sync_marker").first()[0]
+    write_table(parse_app_log(spark.createDataFrame([({}, f"a {marker} b")], "headers map<string,string>, body string")), path, "app", "avro")
+    with pytest.raises(Exception, match="container"):
+        read_table(spark, path, "app", "avro").collect()
