@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,10 @@ from pyspark.sql.window import Window
 from logloom.llm.common import pieces
 from logloom.plans.scratch import new_folder, remove_folder, saved
 
-CACHE = 60_000
+# Words and pieces that a worker process remembers, at about 200 bytes each, before it starts anew.
+CACHE = 700_000
+# Bytes of ids in a shard, where more shards than shuffle partitions are needed for it.
+SHARD_BYTES = 128 << 20
 
 LENGTHS = np.array([[(c >> (2 * k)) % 4 + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
@@ -74,17 +79,35 @@ class Encoder:
         self.other_blank = re.compile(r"[^\S \n]").search
         model = self.tokenizer.model
         letters = byte_letters()
-        self.pieces = _Known(lambda piece: np.array([token.id for token in model.tokenize(piece.encode().decode("latin-1").translate(letters))], "<u4").tobytes())
-        of_pieces = lambda text: b"".join(map(self.pieces.__getitem__, self.cut(text)))
-        self.words = _Known(lambda word: of_pieces(word if word[0] == "\n" else " " + word))
-        self.of_pieces = of_pieces
+        as_letters = lambda piece: piece.encode().decode("latin-1").translate(letters)
+        self.pieces = _Known(lambda piece: array("I", [token.id for token in model.tokenize(as_letters(piece))]).tobytes())
+        self.words = _Pending()
 
     def odd_blank(self, text: str) -> bool:
         """Whether there is any blank but single spaces or newlines between other characters."""
         pairs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
         return pairs or text[0] in " \n" or text[-1] in " \n" or self.other_blank(text) is not None
 
-    def encode_one(self, text: str | None) -> np.ndarray:
+    def of_pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+
+    def learn(self) -> None:
+        """Fill in the ids of the words that were met first, each as it is behind a blank, or behind the newline that it starts with.
+
+        They are cut in one go, one behind the other: a piece that starts with the blank or the newline starts a word.
+        """
+        for mark, before, names in ((" ", " ", [word for word in self.words.new if word[0] != "\n"]), ("\n", "", [word for word in self.words.new if word[0] == "\n"])):
+            pieces = self.cut("".join([before + name for name in names]))
+            starts = (piece[0] == mark for piece in pieces)
+            word = iter(names)
+            for begins, ids in zip(starts, map(self.pieces.__getitem__, pieces)):
+                if begins:
+                    known = self.words[next(word)]
+                known += ids
+        self.words.new.clear()
+
+    def begun(self, text: str | None) -> np.ndarray | list:
+        """The ids of a text, or the pieces of them, of which new words' are still to be learned."""
         if not text:
             return np.zeros(0, np.uint32)
         if any(token in text for token in self.added):
@@ -92,13 +115,28 @@ class Encoder:
         if self.odd_blank(text):
             return np.frombuffer(self.of_pieces(text), np.uint32)
         first, *rest = text.replace("\n", " \n").split(" ")
-        return np.frombuffer(self.of_pieces(first) + b"".join(map(self.words.__getitem__, rest)), np.uint32)
+        return [self.of_pieces(first), *map(self.words.__getitem__, rest)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         for known in (self.pieces, self.words):
             if len(known) > CACHE:
                 known.clear()
-        return [self.encode_one(text) for text in texts]
+        begun = [self.begun(text) for text in texts]
+        self.learn()
+        return [np.frombuffer(b"".join(ids), np.uint32) if isinstance(ids, list) else ids for ids in begun]
+
+
+class _Pending(dict):
+    """Ids of words; a word that is met first is listed in ``new``, and its ids are put in its place later."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> bytearray:
+        self.new.append(word)
+        self[word] = ids = bytearray()
+        return ids
 
 
 class _Known(dict):
@@ -113,6 +151,12 @@ class _Known(dict):
         return value
 
 
+@lru_cache(1)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of a worker process, which goes on with what earlier tasks have made it remember."""
+    return Encoder(path)
+
+
 def byte_letters() -> dict[int, str]:
     """The printable letter for each byte in the byte-level vocabulary: itself if printable, else from U+0100 on, in order."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -127,7 +171,7 @@ def tokenize(documents: DataFrame, path: str, end_id: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Encoder(path)  # and what it remembers goes with the task
+        coder = shared_encoder(path)
         for batch in pieces(batches, 1, 2 << 20):
             found = [np.append(ids, np.uint32(end_id)).astype("<u4") for ids in coder.encode(batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -176,14 +220,16 @@ def write_tokens(documents: DataFrame, folder: str, path: str | None = None, end
         for batch in pieces(batches, 3):
             coded = [encode_ranks(held.value[np.frombuffer(ids, packed)]) for ids in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
-                ["doc_id", "n", "crc", "control", "data"])
-
-    coded = tokens.select("doc_id", "n", "crc", "ids").mapInArrow(encode, "doc_id long, n long, crc long, control binary, data binary")
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = coded.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "crc")
-    ordered = ordered.withColumn("shard", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id())
-    ordered.drop("crc").write.option("compression", "zstd").parquet(f"{folder}/blocks.parquet")
+                [*batch.columns[:2], pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
+                ["doc_id", "n", "control", "data"])
+
+    # Put in order before the ids are coded, as the sampling of the order's limits runs all that stands before it.
+    n_ids = tokens.agg(F.sum("n")).first()[0] or 0
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_ids * np.dtype(packed).itemsize // SHARD_BYTES))
+    ordered = tokens.select("doc_id", "n", "crc", "ids").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "crc")
+    coded = ordered.mapInArrow(encode, "doc_id long, n long, control binary, data binary")
+    coded = coded.withColumn("shard", F.spark_partition_id()).withColumn("seq", F.monotonically_increasing_id())
+    coded.write.option("compression", "zstd").parquet(f"{folder}/blocks.parquet")
     remove_folder(spark, work)
 
 
