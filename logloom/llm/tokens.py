@@ -24,8 +24,8 @@ from pyspark.sql.window import Window
 from logloom.llm.common import pieces
 from logloom.plans.scratch import new_folder, remove_folder, saved
 
-# Words and pieces that a worker process remembers, at about 200 bytes each, before it starts anew.
-CACHE = 700_000
+# Words, and pieces, that a worker process meets before it forgets those it has not met since the last time it forgot.
+CACHE = 120_000
 # Bytes of ids in a shard, where more shards than shuffle partitions are needed for it.
 SHARD_BYTES = 128 << 20
 
@@ -104,7 +104,7 @@ class Encoder:
                 if begins:
                     known = self.words[next(word)]
                 known += ids
-        self.words.new.clear()
+        self.words.new = []
 
     def begun(self, text: str | None) -> np.ndarray | list:
         """The ids of a text, or the pieces of them, of which new words' are still to be learned."""
@@ -119,37 +119,42 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         for known in (self.pieces, self.words):
-            if len(known) > CACHE:
-                known.clear()
+            known.age()
         begun = [self.begun(text) for text in texts]
         self.learn()
         return [np.frombuffer(b"".join(ids), np.uint32) if isinstance(ids, list) else ids for ids in begun]
 
 
-class _Pending(dict):
-    """Ids of words; a word that is met first is listed in ``new``, and its ids are put in its place later."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> bytearray:
-        self.new.append(word)
-        self[word] = ids = bytearray()
-        return ids
-
-
 class _Known(dict):
-    """Values by key, made on first use."""
+    """Values by key, made on first use. Keys that were not used for a while are forgotten."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.before = make, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.before.pop(key, None)
+        self[key] = value = self.make(key) if value is None else value
         return value
 
+    def age(self) -> None:
+        """Once there are many keys, drop those that were not used since the last time, and set the others apart until they are used."""
+        if len(self) > CACHE:
+            self.before = dict(self)
+            self.clear()
+
+
+class _Pending(_Known):
+    """Ids of words; a word that is met first is listed in ``new``, and its ids are put in its place later."""
+
+    def __init__(self):
+        super().__init__(self._list)
+        self.new: list[str] = []
+
+    def _list(self, word: str) -> bytearray:
+        self.new.append(word)
+        return bytearray()
+
 
 @lru_cache(1)
 def shared_encoder(path: str) -> Encoder:
