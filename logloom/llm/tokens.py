@@ -25,31 +25,42 @@ from logloom.llm.common import pieces
 from logloom.plans.scratch import new_folder, remove_folder, saved
 
 # Words, and pieces, that a worker process meets before it forgets those it has not met since the last time it forgot.
-CACHE = 120_000
+CACHE = 220_000
 # Bytes of ids in a shard, where more shards than shuffle partitions are needed for it.
 SHARD_BYTES = 128 << 20
 
 LENGTHS = np.array([[(c >> (2 * k)) % 4 + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of an array of ranks."""
-    ranks = np.ascontiguousarray(ranks, dtype="<u4")
+def _padded(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Control bytes of each block, and the place of each of its ranks among the lengths of all control bytes."""
+    controls = -(-n // 4)
+    shift = 4 * (np.cumsum(controls) - controls) - (np.cumsum(n) - n)
+    return controls, np.arange(n.sum()) + np.repeat(shift, n)
+
+
+def encode_blocks(ranks: np.ndarray, n: np.ndarray) -> tuple[bytes, np.ndarray, bytes, np.ndarray]:
+    """Blocks of ``n`` ranks each, one behind the other: control bytes, their number by block, data, its bytes by block."""
+    ranks, n = np.ascontiguousarray(ranks, dtype="<u4"), n.astype(np.int64)
     length = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    as_bytes = ranks.view(np.uint8).reshape(-1, 4)
-    data = as_bytes[np.arange(4, dtype=np.uint8) < length[:, None]]
-    codes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    codes[: len(ranks)] = length - 1
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < length[:, None]]
+    controls, places = _padded(n)
+    codes = np.zeros(4 * controls.sum(), dtype=np.uint8)
+    codes[places] = length - 1
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    ends = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])[np.concatenate([[0], np.cumsum(n)])]
+    return control.astype(np.uint8).tobytes(), controls, data.tobytes(), np.diff(ends)
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` ranks of a block: lengths by table lookup from the control bytes, then one gather for each byte place."""
-    length = LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[:n].astype(np.int64)
+def decode_blocks(control: bytes, data: bytes, n: np.ndarray) -> np.ndarray:
+    """The ranks of all blocks: lengths by table lookup from the control bytes, then one gather for each byte place."""
+    controls, places = _padded(n.astype(np.int64))
+    if controls.sum() != len(control):
+        raise ValueError("control and number of ranks of a block do not agree")
+    length = LENGTHS[np.frombuffer(control, dtype=np.uint8)].reshape(-1)[places].astype(np.int64)
     ends = np.cumsum(length)
-    if n and ends[-1] != len(data):
+    if (ends[-1] if len(ends) else 0) != len(data):
         raise ValueError("control and data of a block do not agree")
     starts = ends - length
     source = np.frombuffer(data + b"\0\0\0", dtype=np.uint8)
@@ -60,6 +71,23 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """(control, data) of one block."""
+    control, _, data, _ = encode_blocks(ranks, np.array([len(ranks)]))
+    return control, data
+
+
+def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The ``n`` ranks of one block."""
+    return decode_blocks(control, data, np.array([n]))
+
+
+def _binaries(data: bytes, sizes: np.ndarray) -> pa.Array:
+    """An Arrow column of byte strings of the given sizes, one behind the other."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+
+
 class Encoder:
     """Ids of texts by the tokenizers library; what lies between cuts of its pattern is encoded once and remembered.
 
@@ -79,7 +107,8 @@ class Encoder:
         self.other_blank = re.compile(r"[^\S \n]").search
         model = self.tokenizer.model
         letters = byte_letters()
-        as_letters = lambda piece: piece.encode().decode("latin-1").translate(letters)
+        plain = re.compile(" ?[!-~]+").fullmatch  # stands for itself, but for the blank
+        as_letters = lambda piece: piece.replace(" ", letters[32]) if plain(piece) else piece.encode().decode("latin-1").translate(letters)
         self.pieces = _Known(lambda piece: array("I", [token.id for token in model.tokenize(as_letters(piece))]).tobytes())
         self.words = _Pending()
 
@@ -223,10 +252,9 @@ def write_tokens(documents: DataFrame, folder: str, path: str | None = None, end
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 3):
-            coded = [encode_ranks(held.value[np.frombuffer(ids, packed)]) for ids in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
-                ["doc_id", "n", "control", "data"])
+            ids = np.frombuffer(b"".join(batch.column(3).to_pylist()), packed)
+            control, controls, data, sizes = encode_blocks(held.value[ids], batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], _binaries(control, controls), _binaries(data, sizes)], ["doc_id", "n", "control", "data"])
 
     # Put in order before the ids are coded, as the sampling of the order's limits runs all that stands before it.
     n_ids = tokens.agg(F.sum("n")).first()[0] or 0
@@ -249,8 +277,10 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 5):
-            ids = [held.value[decode_ranks(c, d, n)].astype("<u4").tobytes() for n, c, d in zip(*(batch.column(k).to_pylist() for k in (3, 4, 5)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "shard", "seq", "ids"])
+            n = batch.column(3).to_numpy()
+            control, data = (b"".join(batch.column(k).to_pylist()) for k in (4, 5))
+            ids = held.value[decode_blocks(control, data, n)].astype("<u4")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], _binaries(ids.tobytes(), 4 * n)], ["doc_id", "shard", "seq", "ids"])
 
     blocks = spark.read.parquet(f"{folder}/blocks.parquet").select("doc_id", "shard", "seq", "n", "control", "data")
     return blocks.mapInArrow(decode, "doc_id long, shard int, seq long, ids binary")
