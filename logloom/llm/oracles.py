@@ -52,18 +52,19 @@ WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '
 grams AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, unnest([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) AS gram FROM docs WHERE len(w) >= 5),
 again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM grams) WHERE n > 1),
 repeats AS (SELECT r, sum(least(5, coalesce(nxt - i, 5)))::BIGINT AS n_repeat_words FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt FROM again) GROUP BY r),
-line_rows AS (SELECT doc_id, source, regexp_replace(translate(trim(regexp_replace(x, {_BLANKS}, ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS line
-  FROM (SELECT doc_id, source, unnest(lines) AS x FROM docs)),
-line_docs AS (SELECT doc_id, source, line, count(*) * (length(line) - length(replace(line, ' ', '')) + 1) AS words FROM line_rows GROUP BY doc_id, source, line),
-hosts AS (SELECT source, count(DISTINCT doc_id) AS n_docs FROM line_docs GROUP BY source),
-common AS (SELECT source, line FROM (SELECT source, line, count(*) AS n FROM line_docs GROUP BY source, line) JOIN hosts USING (source) WHERE n > 100 AND n > 0.01 * n_docs),
-removed AS (SELECT doc_id, sum(words) AS removed FROM line_docs JOIN common USING (source, line) GROUP BY doc_id),
+line_rows AS (SELECT r, key, source, regexp_replace(translate(trim(regexp_replace(x, {_BLANKS}, ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS line
+  FROM (SELECT r, coalesce(doc_id::VARCHAR, 'text ' || md5(t)) AS key, source, unnest(lines) AS x FROM docs)),
+hosts AS (SELECT source, count(DISTINCT key) AS n_docs FROM line_rows GROUP BY source),
+common AS (SELECT c.source, line FROM (SELECT source, line, count(DISTINCT key) AS n FROM line_rows GROUP BY source, line) c
+  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE n > 3 AND n > 0.05 * n_docs),
+removed AS (SELECT r, sum(length(l.line) - length(replace(l.line, ' ', '')) + 1) AS removed FROM line_rows l
+  JOIN common c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line GROUP BY r),
 rules AS (
-  SELECT doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, {_BLANKS}, '', 'g'))::BIGINT AS word_chars,
+  SELECT r, doc_id, source, len(w)::BIGINT AS n_words, length(regexp_replace(t, {_BLANKS}, '', 'g'))::BIGINT AS word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM docs LEFT JOIN repeats USING (r)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, greatest(n_words - coalesce(removed, 0), 0)::BIGINT AS n_left_words
-  FROM rules LEFT JOIN removed USING (doc_id))
+  FROM rules LEFT JOIN removed USING (r))
 SELECT doc_id, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_left_words,
   NOT base_failed AND n_left_words >= 10 AND n_left_words >= 0.5 * n_words AS kept FROM judged
 """

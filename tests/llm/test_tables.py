@@ -3,13 +3,14 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 from conftest import prose
 from tokenizers import Tokenizer
 
-from logloom.llm import chat, decontaminate, mixing, quality, queries, tokens
+from logloom.llm import chat, decontaminate, mixing, oracles, quality, queries, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -246,6 +247,57 @@ def test_common_lines_go(documents):
     assert quality.quality_rules(documents([])).collect() == []
 
 
+def slow_quality(rows, share=quality.MAX_SHARE, least=quality.MIN_DOCUMENTS):
+    """(doc_id, n_left_words, kept) of each row."""
+    def lines_of(text):
+        return [re.sub("[0-9]+", "0", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in " ".join(WORD.findall(line))))
+                for line in (text or "").split("\n") if WORD.search(line)]
+
+    holders, hosts = {}, {}
+    for doc_id, text, _, source in rows:
+        key = (doc_id, text or "") if doc_id is None else doc_id
+        for line in lines_of(text):
+            holders.setdefault((source, line), set()).add(key)
+            hosts.setdefault(source, set()).add(key)
+    out = []
+    for doc_id, text, _, source in rows:
+        n, *_, failed = slow_rules(text)
+        gone = sum(len(line.split(" ")) for line in lines_of(text) if len(found := holders[source, line]) > least and len(found) > share * len(hosts[source]))
+        out.append((doc_id, n - gone, not failed and n - gone >= 10 and n - gone >= quality.MIN_LEFT * n))
+    return out
+
+
+def quality_rows():
+    menu, notice = "Home | About 7 | Contact us today for more of all these offers", "All rights of this site are kept by those who made it"
+    rows = [(i, f"{prose(i, 30)}\n{menu}\n{prose(i + 1000, 12)}", "en", "site") for i in range(60)]
+    rows += [(None, f"{prose(2000 + i, 25)}", "en", "site") for i in range(4)] + [(None, f"{notice}\n{menu}\n{i}", "en", "site") for i in range(4)]
+    rows += [(70, prose(70, 20), "en", "site"), (70, f"{menu}\n{menu.upper()}\n one more", "en", "site"), (70, f"{menu}\n{menu.upper()}\n one more", "en", "site")]
+    rows += [(71, f"{notice}\n{prose(71, 11)}", "en", None), *[(72, notice, "en", None)] * 9, (73, None, "en", None), (None, None, None, None), (None, "", "en", "site")]
+    rows += [(80 + i, f"{prose(80 + i, 14)}\n{notice}" if i % 2 else f"{notice}\n{notice}", "en", "small") for i in range(7)]
+    return rows + [(90 + i, f"{prose(5, 40)}\n{prose(6, 40)}", "en", "site") for i in range(9)]
+
+
+def test_quality_against_counting(spark, documents):
+    """At the registered limits, with ids that are null or repeated: also by the registered SQL."""
+    rows = quality_rows()
+    want = sorted(slow_quality(rows), key=repr)
+    got = quality.quality_rules(documents(rows, extra=True)).select("doc_id", "n_left_words", "kept").collect()
+    assert sorted(map(tuple, got), key=repr) == want
+    assert any(left < slow_rules(t)[0] and not kept and not slow_rules(t)[-1] for (_, left, kept), (_, t, _, _) in zip(slow_quality(rows), rows))
+    db = duckdb.connect()
+    frame = documents(rows).toPandas()  # noqa: F841
+    db.execute("CREATE TABLE documents AS SELECT CAST(doc_id AS BIGINT) AS doc_id, text, source FROM frame")
+    assert sorted(db.sql(oracles.OP9).select("doc_id", "n_left_words", "kept").fetchall(), key=repr) == want
+
+
+def test_cleaned_documents(documents):
+    rows = quality_rows()
+    cleaned = quality.clean_documents(documents(rows, extra=True))
+    assert cleaned.columns == documents(rows, extra=True).columns
+    left = sorted(((r["doc_id"], len(WORD.findall(r["text"] or "")), r["n_chars"] == (None if r["text"] is None else len(r["text"]))) for r in cleaned.collect()), key=repr)
+    assert left == sorted(((d, n, True) for d, n, _ in slow_quality(rows)), key=repr)
+
+
 # --- tokens ----------------------------------------------------------------------------------------
 
 
