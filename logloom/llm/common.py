@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row, maps among them (as JSON, for Spark does not hash maps)."""
+    kinds = [field.dataType.simpleString() for field in df.schema]
+    return F.xxhash64(*[F.to_json(F.struct(column.alias("c"))) if "map<" in kind else column for column, kind in zip(columns_of(df), kinds)])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, all other characters as they are."""
     return F.translate(text, UPPER, LOWER)

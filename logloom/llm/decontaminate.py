@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import lower_ascii, pieces
+from logloom.llm.common import columns_of, lower_ascii, pieces
 from logloom.plans.scratch import saved
 
 MAX_ITEM_WORDS = 1_000_000
@@ -216,9 +216,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = 10,
     where there, is counted anew for texts that were cut.
     """
     columns, schema = documents.columns, documents.schema
-    hits = benchmark_hits(documents.select(F.struct(*columns).alias("row"), "text"), benchmark, window, nameless=True)
+    hits = benchmark_hits(documents.select(F.struct(*columns_of(documents)).alias("row"), "text"), benchmark, window, nameless=True)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
-    left = hits.where((n_hit == 0) | (n_hit <= max_coverage * F.col("n_words"))).select("row.*", F.col("spans").alias("_spans_"))
+    left = hits.where((n_hit == 0) | (n_hit <= max_coverage * F.col("n_words"))).select("row.*", "spans")
+    left = left.toDF(*[f"_c{i}" for i in range(len(columns))], "_spans")  # mapInArrow takes no names with dots
     text_at = columns.index("text")
     chars_at = columns.index("n_chars") if "n_chars" in columns else None
 

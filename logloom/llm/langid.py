@@ -4,22 +4,23 @@ from __future__ import annotations
 
 import bisect
 import math
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logloom.llm.common import doc_crc, pieces
+from logloom.llm.common import columns_of, doc_crc, pieces
 
 UNKNOWN = "und"
 SAMPLE_DOCUMENTS = 1_500
-SAMPLE_CHARS = 3_000
+# Characters of a training text that are read, in so many pieces spread evenly over the whole of it.
+SAMPLE_CHARS, SAMPLE_PIECES = 3_000, 10
 WORDS_KEPT = 100_000
 PIECE = 40  # letters; longer runs are cut into pieces of this length at most
 
@@ -31,7 +32,8 @@ SCRIPTS = [
     (0xAC00, "Hangul"), (0xD7B0, ""),
 ]
 _STARTS = [start for start, _ in SCRIPTS]
-_WORD = re.compile(r"[^\W\d_]+")
+# Letters by category, each with the marks (such as vowel signs) that belong to it.
+_WORD = regex.compile(r"(?:\p{L}\p{M}*)+")
 _IMPOSSIBLE = -60.0
 
 
@@ -201,7 +203,7 @@ class LanguageModel:
         begin, size = begins[order], sizes[order]
         active = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")  # texts with at least so many words
         best = np.zeros((active[0], n_lang), dtype=np.float32)
-        came_best = np.zeros(len(flat), dtype=np.int8)  # the best language before each word
+        came_best = np.zeros(len(flat), dtype=np.int32)  # the best language before each word
         switched = np.zeros((len(flat), n_lang), dtype=bool)
         final = np.zeros((len(order), n_lang), dtype=np.float32)
         for step, n in enumerate(active.tolist()):
@@ -219,7 +221,7 @@ class LanguageModel:
             best = best + self.table[rows[at]]
             best -= best.max(axis=1, keepdims=True)
         final[: len(best)] = best
-        labels = np.zeros(len(flat), dtype=np.int8)
+        labels = np.zeros(len(flat), dtype=np.int32)
         state = final.argmax(axis=1)
         for step in range(len(active) - 1, -1, -1):
             n = active[step]
@@ -245,19 +247,29 @@ class LanguageModel:
         return out
 
 
+def spread_pieces(text: Column, most_chars: int, n: int = SAMPLE_PIECES) -> Column:
+    """A text of up to ``most_chars`` characters, or ``n`` pieces of a longer one, from its start to its end, cut between words."""
+    size = most_chars // n
+    start = lambda i: (F.floor((F.length(text) - size) * i / (n - 1)) + 1).cast("int")
+    piece = lambda i: F.regexp_replace(F.substr(text, start(i), F.lit(size)), r"\A\S{1,40}\s|\s\S{1,40}\z", " ")
+    return F.when(F.length(text) <= most_chars, text).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), piece), " "))
+
+
 def train_languages(documents: DataFrame, most_documents: int = SAMPLE_DOCUMENTS, most_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """A model from the text and lang of documents that are not held out (crc32 of the id as text, mod 4, is not 2).
 
-    Fitted on at most ``most_documents`` texts per language, all where there are no more, and ``most_chars`` characters of each, the rows with the lowest hash
-    of their text, equal texts counted once: a bounded sample, the same in every run. Rows without text or lang are left out.
+    Fitted on at most ``most_documents`` texts per language, all where there are no more, those with the lowest hash, equal texts counted
+    once: a bounded sample, the same in every run. Of a text longer than ``most_chars`` characters so many are read, in pieces spread over
+    the whole of it. Rows without text or lang are left out.
     """
     rows = documents.where("text IS NOT NULL AND lang IS NOT NULL").where(~_held_out())
-    rows = rows.select("lang", F.substring("text", 1, most_chars).alias("text"), F.xxhash64("text").alias("_h"))
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("_h"))
     n = rows.select("lang", "_h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
     # Of the range of hashes, with eight standard deviations to spare, so that no language falls short by chance.
     share = F.lit(most_documents + 8 * math.sqrt(most_documents) + 32) / F.col("_n")
     # One row per language, far less than the driver holds in a model of it: the texts are filtered where they are.
     sample = rows.join(F.broadcast(n), "lang").where(F.col("_h") / F.lit(2.0**64) + 0.5 <= share)
+    sample = sample.select("lang", "_h", spread_pieces(F.col("text"), most_chars).alias("text"))
     by_hash = Window.partitionBy("lang").orderBy("_h", "text")
     sample = sample.dropDuplicates(["lang", "_h"])
     sample = sample.withColumn("_at", F.row_number().over(by_hash)).where(F.col("_at") <= most_documents)
@@ -300,5 +312,5 @@ def identify_languages(documents: DataFrame) -> DataFrame:
 def documents_with_language(documents: DataFrame, least_score: float = 0.5) -> DataFrame:
     """The documents that have a language: it is not ``und``, and at least ``least_score`` of their letters are in it."""
     model = train_languages(documents)
-    labelled = label_languages(documents.select(F.struct(*documents.columns).alias("row"), "text"), model)
+    labelled = label_languages(documents.select(F.struct(*columns_of(documents)).alias("row"), "text"), model)
     return labelled.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logloom.llm.common import count_words
+from logloom.llm.common import columns_of, count_words, row_hash
 from logloom.plans.scratch import saved
 
 CELL = 4096
@@ -64,6 +64,8 @@ def balance(cells: DataFrame, targets: DataFrame, most: float, tolerance: float
         worst = state.where("NOT full").agg(F.max(F.abs("off"))).first()[0]
         if worst is None or worst <= tolerance:
             break
+    else:
+        raise RuntimeError(f"off by {worst} after {most_steps} steps")
     tilt = F.when(F.col("full"), F.lit(float("inf"))).otherwise(F.col("tilt"))
     return state.select("source", "scale", tilt.alias("tilt"))
 
@@ -167,12 +169,12 @@ def repeated_documents(documents: DataFrame, weights: tuple[float, ...] = (3, 1,
     key = ["doc_id", "source", "_tie"]
     copies = _mixed(documents, weights, share, most).groupBy(*key).agg(F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
     copies = copies.where("_copies > 0").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], "_copies", "_rows")
-    rows = documents.select(F.struct(*documents.columns).alias("row"), *[c.alias(f"_m{i}") for i, c in enumerate((F.col("doc_id"), F.col("source"), _tie()))])
+    rows = documents.select(F.struct(*columns_of(documents)).alias("row"), row_hash(documents).alias("_hash"), *[c.alias(f"_m{i}") for i, c in enumerate((F.col("doc_id"), F.col("source"), _tie()))])
     same = F.col("_m2") == F.col("_k2")
     for i in (0, 1):
         same = same & F.col(f"_m{i}").eqNullSafe(F.col(f"_k{i}"))
     joined = rows.join(copies, same)
-    alike = Window.partitionBy("_m0", "_m1", "_m2").orderBy(F.xxhash64("row"))
+    alike = Window.partitionBy("_m0", "_m1", "_m2").orderBy("_hash")
     several = joined.where("_rows > 1").withColumn("_at", F.row_number().over(alike)).where("_at = 1")
     chosen = joined.where("_rows = 1").select("row", "_copies").unionByName(several.select("row", "_copies"))
     return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from logloom.llm.common import pieces
+from logloom.llm.common import columns_of, pieces, row_hash
 from logloom.llm.components import connected_components
 from logloom.plans.scratch import saved
 
@@ -233,8 +233,8 @@ def one_of_each_group(documents: DataFrame, shingle: int = 4, distance: int = 4)
     Groups are told apart by their fingerprints, so ids may be null or repeated. The choice is made on hashes, in
     aggregations only; whole rows are looked up by them.
     """
-    row = F.struct(*documents.columns)
-    hashes = {"_text_hash": F.xxhash64("text"), "_row_hash": F.xxhash64(row)}
+    row = F.struct(*columns_of(documents))
+    hashes = {"_text_hash": F.xxhash64("text"), "_row_hash": row_hash(documents)}
     docs = saved(with_fingerprints(documents, shingle, **hashes), "simhash-documents")
     key = ["doc_id", *hashes]
     counted = docs.groupBy("fp", *key).agg(F.count(F.lit(1)).alias("_n"))
@@ -256,8 +256,8 @@ def first_of_groups(documents: DataFrame, groups: DataFrame) -> DataFrame:
     """
     names = F.max(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"), names.alias("_names")).where("_names")
-    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").alias("_of"))
+    rows = documents.select(F.struct(*columns_of(documents)).alias("row"), F.col("doc_id").alias("_of"), row_hash(documents).alias("_hash"))
     joined = rows.join(kept, F.col("_of").eqNullSafe(F.col("_id")))
-    by_content = Window.partitionBy("_of").orderBy(F.xxhash64("row.text"), F.xxhash64("row"))
+    by_content = Window.partitionBy("_of").orderBy(F.xxhash64("row.text"), "_hash")
     several = joined.where("_n > 1").withColumn("_at", F.row_number().over(by_content)).where("_at = 1")
     return joined.where("_n = 1").select("row").unionByName(several.select("row")).select("row.*")

@@ -19,6 +19,27 @@ def test_languages_of_held_out_documents(spark):
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] >= 0.97
 
 
+def test_letters_by_category():
+    model = small_model()
+    assert [lang for lang, _, _ in model.label(["½ ²", "① 5 _ !", "́", None, "baka ½"])] == ["und"] * 4 + ["xx"]
+    assert langid.words_of("हिन्दी में ½ x² عَرَبِيّ") == ["हिन्दी", "में", "x", "عَرَبِيّ"]
+
+
+def test_many_languages():
+    rows = [(f"l{i:03d}", " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{c}" for c in "aeiou")) for i in range(200)]
+    model = langid.LanguageModel(pd.DataFrame(rows, columns=["lang", "text"]))
+    assert [lang for lang, _, _ in model.label([text for _, text in rows])] == [lang for lang, _ in rows]
+
+
+def test_training_texts_are_read_to_their_end(documents):
+    texts = [prose(1, 30), " ".join(f"w{i:05d}" for i in range(5000)), "漢" * 9000]
+    df = documents([(i, text) for i, text in enumerate(texts)]).select("doc_id", langid.spread_pieces(F.col("text"), 3000).alias("text"))
+    short, spread, run = [row["text"] for row in df.orderBy("doc_id").collect()]
+    numbers = [int(word[1:]) for word in spread.split()]
+    assert short == texts[0] and 2900 <= len(spread) <= 3010 and numbers == sorted(numbers) and len(run) >= 3000
+    assert numbers[0] < 10 and numbers[-1] > 4990 and all(any(n // 500 == part for n in numbers) for part in range(10)) and set(map(len, spread.split())) == {6}
+
+
 def small_model():
     rows = [("xx", " ".join(f"{a}{b}ka" for a in "bdg" for b in "aio")), ("yy", " ".join(f"{a}{b}sch" for a in "bdg" for b in "eu")), ("gr", "λογος και ανθρωπος")]
     return langid.LanguageModel(pd.DataFrame(rows, columns=["lang", "text"]))
