@@ -24,8 +24,8 @@ from pyspark.sql.window import Window
 from logloom.llm.common import pieces
 from logloom.plans.scratch import new_folder, remove_folder, saved
 
-# Words, and pieces, that a worker process meets before it forgets those it has not met since the last time it forgot.
-CACHE = 220_000
+# Words, and pieces, that a task meets before it forgets those it has not met since the last time it forgot.
+CACHE = 200_000
 # Bytes of ids in a shard, where more shards than shuffle partitions are needed for it.
 SHARD_BYTES = 128 << 20
 
@@ -112,6 +112,11 @@ class Encoder:
         self.pieces = _Known(lambda piece: array("I", [token.id for token in model.tokenize(as_letters(piece))]).tobytes())
         self.words = _Pending()
 
+    def forget(self) -> None:
+        for known in (self.pieces, self.words):
+            known.clear()
+            known.before = {}
+
     def odd_blank(self, text: str) -> bool:
         """Whether there is any blank but single spaces or newlines between other characters."""
         pairs = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
@@ -187,7 +192,7 @@ class _Pending(_Known):
 
 @lru_cache(1)
 def shared_encoder(path: str) -> Encoder:
-    """The encoder of a worker process, which goes on with what earlier tasks have made it remember."""
+    """The encoder of a worker process. What it remembers goes at the end of a task, as the worker lives on beside other stages."""
     return Encoder(path)
 
 
@@ -211,6 +216,7 @@ def tokenize(documents: DataFrame, path: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(ids) for ids in found], pa.int64()), pa.array([zlib.crc32(ids.tobytes()) for ids in found], pa.int64()),
                  pa.array([ids.astype(coder.packed).tobytes() for ids in found], pa.binary())], ["doc_id", "n", "crc", "ids"])
+        coder.forget()
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, crc long, ids binary")
 
