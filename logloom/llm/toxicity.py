@@ -23,17 +23,20 @@ WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_SIZE, CHAR_SIZE = 8, 8, 16
 WORD_ROWS, GRAM_ROWS = 1 << 12, 1 << 14
 SAMPLE_TOXIC, SAMPLE_OTHERS = 1_000, 3_000
-PIECE, PIECE_STEP = 40, 20  # letters of the pieces that longer runs are read by, and from one to the next
+PIECE, PIECE_STEP = 40, 20  # characters of the pieces that longer runs are read by, and from one to the next
 WORDS_KEPT = 150_000
 GRAM = 4
 STEP = 4096
 DECAY = 0.3  # of the embeddings, per unit of learning rate
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\s.,;:?\"()\[\]{}/…–—]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-case; long ones as overlapping pieces, so that what is short lies whole in one of them."""
-    words = _WORD.findall(text.lower()) if text else []
+    """Runs of letters, digits and symbols, lower-case, cut at blanks and at the punctuation of sentences, without marks at their ends.
+
+    Spellings such as ``1d10t`` or ``f*ck`` are one word. Long runs become overlapping pieces, so that what is short lies whole in one of them.
+    """
+    words = [word for word in (run.strip("!'-") for run in _WORD.findall(text.lower())) if word] if text else []
     if not words or max(map(len, words)) <= PIECE:
         return words
     return [word[at : at + PIECE] for word in words for at in range(0, max(1, len(word) - PIECE + PIECE_STEP), PIECE_STEP)]

@@ -150,6 +150,21 @@ def test_no_part_of_a_text_is_left_out(documents, spark, monkeypatch):
     assert min(sizes.value.args[0]) >= 3000
 
 
+def test_digits_and_symbols_are_read():
+    assert toxicity.words_of("You 1D10T! f*ck, a$$ (don't) -- x/y end.Next 7") == ["you", "1d10t", "f*ck", "a$$", "don't", "x", "y", "end", "next", "7"]
+    rng = random.Random(6)
+    texts = []
+    for i in range(320):
+        words = prose(i % 40, rng.randint(8, 50), 200).split()
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(["z0rg*l", "z0rg*ma", "z0rg*st", "z0rg*"]))
+            words.insert(rng.randrange(len(words)), rng.choice(["z0rg*l", "z0rg*x"]))
+        texts.append(" ".join(words))
+    network = toxicity.train_network(pd.DataFrame({"text": texts[:240], "toxic": [int(i % 4 == 0) for i in range(240)]}))
+    found = network.scores([*texts[240:], prose(90, 30, 200) + " z0rg*new " + prose(91, 30, 200)]) >= 0.5
+    assert np.mean(found == [i % 4 == 0 for i in range(240, 320)] + [True]) > 0.9
+
+
 def test_toxicity_of_new_documents(spark, documents):
     rng = random.Random(2)
     rows, labels = [], []
