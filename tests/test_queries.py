@@ -26,3 +26,18 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_streamed_table_of_one_file_or_of_a_folder(spark, tmp_path, files):
+    rows = [(i, "ab"[i % 2], f"one\ntwo {i}." if i % 3 else f"open {i}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    docs.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
+    folder = tmp_path
+    if files == 1:
+        folder = tmp_path / "single"
+        folder.mkdir()
+        next((tmp_path / "documents.parquet").glob("part-*")).rename(folder / "documents.parquet")
+    streamed = queries()["s7_stream_assembly"](spark, str(folder)).select("stream", "doc_id", "pos", "body", "n_lines").collect()
+    batch = queries()["s3_assemble_events"](spark, str(folder)).collect()
+    assert streamed and sorted(map(tuple, streamed)) == sorted(map(tuple, batch))
