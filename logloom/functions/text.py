@@ -18,9 +18,12 @@ _ANY = r"[\s\S]"
 _CHARACTERS = {
     "utf-16-le": (rf"{_ANY}[^\xD8-\xDF]|{_ANY}[\xD8-\xDB]{_ANY}[\xDC-\xDF]", rf"{_ANY}[\xD8-\xDB]{_ANY}\z|{_ANY}{{2}}|{_ANY}\z"),
     "utf-16-be": (rf"[^\xD8-\xDF]{_ANY}|[\xD8-\xDB]{_ANY}[\xDC-\xDF]{_ANY}", rf"[\xD8-\xDB]{_ANY}{{2}}\z|{_ANY}{{2}}|{_ANY}\z"),
+    "utf-32-le": (rf"{_ANY}[^\xD8-\xDF]\x00\x00|{_ANY}{{2}}[\x01-\x10]\x00", rf"{_ANY}{{4}}|{_ANY}{{1,3}}\z"),
     "utf-32-be": (rf"\x00\x00[^\xD8-\xDF]{_ANY}|\x00[\x01-\x10]{_ANY}{{2}}", rf"{_ANY}{{4}}|{_ANY}{{1,3}}\z"),
 }
-_REPLACEMENT = {"utf-16-le": "\xfd\xff", "utf-16-be": "\xff\xfd", "utf-32-be": "\x00\x00\xff\xfd"}
+# Texts of well-formed units of equal size, the usual ones: a loop that Java's regular expressions run without a step back.
+_UNIFORM = {"utf-16-le": rf"{_ANY}[^\xD8-\xDF]", "utf-16-be": rf"[^\xD8-\xDF]{_ANY}", "utf-32-le": rf"{_ANY}[^\xD8-\xDF]\x00\x00", "utf-32-be": rf"\x00\x00[^\xD8-\xDF]{_ANY}"}
+_REPLACEMENT = {"utf-16-le": "\xfd\xff", "utf-16-be": "\xff\xfd", "utf-32-le": "\xfd\xff\x00\x00", "utf-32-be": "\x00\x00\xff\xfd"}
 # Byte order marks of the charsets that have one, and the charset each names.
 _MARKS = {"utf-16": (("\xff\xfe", "utf-16-le"), ("\xfe\xff", "utf-16-be")),
           "utf-32": (("\xff\xfe\x00\x00", "utf-32-le"), ("\x00\x00\xfe\xff", "utf-32-be"))}
@@ -46,7 +49,7 @@ def decode_bytes(value: Column, charset: str = "UTF-8") -> Column:
         return latin
     if name in _MARKS:
         return _by_mark(latin, name)
-    if name in _CHARACTERS or name == "utf-32-le":
+    if name in _CHARACTERS:
         return _units(latin, name)
     table = _single_bytes(name)
     if table is None:
@@ -71,18 +74,16 @@ def _by_mark(latin: Column, name: str) -> Column:
 
 def _units(latin: Column, name: str) -> Column:
     """Decode bytes, given as characters up to U+00FF, of a charset with units of two or four bytes."""
-    if name == "utf-32-le":
-        # Put each unit's bytes in the other order; an incomplete one at the end stays and is malformed either way.
-        return _units(F.regexp_replace(latin, rf"({_ANY})({_ANY})({_ANY})({_ANY})", "$4$3$2$1"), "utf-32-be")
     good, bad = _CHARACTERS[name]
-    well_formed = F.regexp_replace(latin, rf"\G(?:{good})", "") == ""
+    well_formed = latin.rlike(rf"\A(?:{_UNIFORM[name]})*+\z") | (F.regexp_replace(latin, rf"\G(?:{good})", "") == "")
     # Characters are followed by both marks, other units stand between them.
     marked = F.regexp_replace(latin, rf"\G({good})|\G({bad})", f"$1{_GOOD}$2{_BAD}")
     mended = F.translate(F.regexp_replace(marked, f"{_GOOD}[^{_GOOD}{_BAD}]+{_BAD}", _REPLACEMENT[name]), _GOOD + _BAD, "")
     whole = F.encode(F.when(well_formed, latin).otherwise(mended), "ISO-8859-1")
-    if name == "utf-32-be":
-        # With a byte order mark, which is not part of the text.
-        return F.decode(F.concat(F.lit(bytearray(b"\x00\x00\xfe\xff")), whole), "UTF-32")
+    if name.startswith("utf-32"):
+        # With a byte order mark, which is not part of the text and names the order.
+        mark = b"\xff\xfe\x00\x00" if name == "utf-32-le" else b"\x00\x00\xfe\xff"
+        return F.decode(F.concat(F.lit(bytearray(mark)), whole), "UTF-32")
     return F.decode(whole, name.upper().replace("-LE", "LE").replace("-BE", "BE"))
 
 

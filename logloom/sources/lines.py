@@ -7,6 +7,9 @@ number of blocks, so work per block or per part stays small however long one str
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,13 @@ PART_BITS = 26
 # first a newline is all one mark; with the low byte last it starts with zeros like so much else, and the cut is at its last byte.
 WIDE_NEWLINES = {"utf-16-le": (2, b"\n\0", b""), "utf-16-be": (2, b"\n", b"\0"), "utf-32-le": (4, b"\n\0\0\0", b""), "utf-32-be": (4, b"\n", b"\0\0\0")}
 
+# Columns of pieces whose cuts are placed in their file, and of pieces joined inside their split.
+JOINED = ("file", "order", "start", "before", "closed")
+JOINED_NAMES = [*JOINED, "piece", "ended", "side"]
+JOINED_SCHEMA = "file string, `order` string, start bigint, before bigint, closed boolean, piece binary, ended boolean, side int"
+# Far over all ids of rows: puts lines before all others of their split, or behind them.
+FAR = 1 << 62
+
 # Endings of names of compressed files.
 COMPRESSED = r"\.(gz|bz2|zst|xz|lz4|snappy|deflate)\z"
 
@@ -124,7 +134,8 @@ def read_wide_lines(
     Files are cut at the bytes of a newline wherever they stand. Such bytes may also be part of other characters, or the end of one and the
     start of the next. In a file where every piece is a whole number of units and ends like a line, every cut is a newline; its lines
     are ready, without a shuffle. In the others (some scripts have such characters) lengths are added up, by split and
-    over splits, and pieces are joined up to the next cut that is a newline.
+    over splits, and pieces are joined up to the next cut that is a newline: inside a split where it is read, so that only
+    what stands at the edges of splits is shuffled.
     """
     unit, mark, rest = WIDE_NEWLINES[charset]
     stream = stream_of or (lambda file: file)
@@ -149,14 +160,17 @@ def read_wide_lines(
     mixed = splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), F.coalesce(before, F.lit(0)).alias("before"),
                           (F.sum("bytes").over(by_file) % unit == 0).alias("closed"), plain.alias("plain"))
     mixed = mixed.where("NOT plain").drop("plain")
-    ready = raw.join(mixed.select("_file").distinct(), F.col("file") == F.col("_file"), "left_anti").withColumn("ended", regular)
-    joined = _joined_pieces(raw.join(mixed, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start"))), unit, mark, ends)
+    # A row for each split, which the driver has planned one by one. Broadcast, as pieces must stay in the order they are read.
+    ready = raw.join(F.broadcast(mixed.select("_file").distinct()), F.col("file") == F.col("_file"), "left_anti").withColumn("ended", regular)
+    placed = raw.withColumn("ends", ends).join(F.broadcast(mixed), (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+    joined = lambda edges: placed.select(*JOINED, "piece", "ends").mapInArrow(_join_in_splits(unit, mark, edges), JOINED_SCHEMA)
     parts = []
-    for pieces in (ready, joined):
-        line = F.when(F.col("ended"), F.substr(F.col("piece"), F.lit(1), size - len(rest))).otherwise(F.col("piece"))
-        lines = pieces.select("file", "order", "start", _wide_lines(line, charset))
-        parts.append(lines.withColumn("pos", F.monotonically_increasing_id()))
-    return parts[0].unionByName(parts[1]).select(
+    # Ids given to the rows rise in the order of the lines. What was joined at the start of a split is before its other lines, at its end behind them.
+    for pieces, first in ((ready.withColumn("side", F.lit(0)), 0), (joined(False), 0), (_joined_edges(joined(True), mark), FAR)):
+        line = F.when(F.col("ended"), F.substr(F.col("piece"), F.lit(1), F.octet_length("piece") - len(rest))).otherwise(F.col("piece"))
+        lines = pieces.select("file", "order", "start", "side", _wide_lines(line, charset))
+        parts.append(lines.withColumn("pos", F.monotonically_increasing_id() + F.col("side") * F.lit(first)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
         stream(F.col("file")).alias("stream"), F.struct("order", "file", "start").alias("part"),
         F.shiftright("pos", block_bits).alias("block"), "pos", "line")
 
@@ -166,26 +180,59 @@ def _wide_lines(piece: Column, charset: str) -> Column:
     return F.explode(F.split(F.regexp_replace(decode_bytes(piece, charset), r"\r\z", ""), r"\r", -1)).alias("line")
 
 
-def _joined_pieces(pieces: DataFrame, unit: int, mark: bytes, ends: Column) -> DataFrame:
-    """Pieces of files in which not every cut is a newline, joined up to the next one that is: ``file, order, start, piece, ended``, in order.
+def _join_in_splits(unit: int, mark: bytes, edges: bool):
+    """Pieces of splits, in order, joined up to the next cut that is a newline: those at the edges of splits, or all others.
+
+    ``side`` is -1 for what ends with the first newline of its split, 1 for what has none behind it in its split, 0 for the rest.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, place, held, side = None, 0, [], -1
+        for batch in batches:
+            names = batch.schema.names
+            out = []
+            for *of, piece, ends in zip(*[batch.column(name).to_pylist() for name in names]):
+                if of != key:
+                    if held and edges:
+                        out.append((*key, mark.join(held), False, 1))
+                    key, place, held, side = of, of[names.index("before")], [], -1
+                held.append(piece)
+                place += len(piece) + len(mark)
+                if ends and place % unit == 0:
+                    if edges == (side != 0):
+                        out.append((*key, mark.join(held), True, side))
+                    held, side = [], 0
+            yield _record_batch(out)
+        if held and edges:
+            yield _record_batch([(*key, mark.join(held), False, 1)])
+
+    def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds)], JOINED_NAMES)
+
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.bool_(), pa.int32()]
+    return run
+
+
+def _joined_edges(edges: DataFrame, mark: bytes) -> DataFrame:
+    """Edges of splits joined up to the next newline: ``file, order, start, piece, ended, side``, in order.
 
     The last one of a ``closed`` file has a cut behind it, which is part of its text if it is no newline.
     """
-    in_split = Window.partitionBy("file", "start").orderBy("row")
-    place = F.col("before") + F.sum(F.octet_length("piece") + len(mark)).over(in_split)
-    marked = pieces.withColumn("ended", ends & (place % unit == 0))
-    counts = marked.groupBy("file", "start").agg(F.count_if("ended").alias("n"))
+    per_split = edges.groupBy("file", "start").agg(F.count_if("ended").alias("n"))
     ahead = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select(F.col("file").alias("_f"), F.col("start").alias("_s"), F.coalesce(ahead, F.lit(0)).alias("ahead"))
-    inside = F.coalesce(F.sum(F.col("ended").cast("bigint")).over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    numbered = marked.withColumn("inside", inside).join(counts, (F.col("file") == F.col("_f")) & (F.col("start") == F.col("_s")))
-    groups = numbered.groupBy("file", "order", (F.col("ahead") + F.col("inside")).alias("number")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "row", "piece"))).alias("pieces"), F.max("ended").alias("ended"), F.first("closed").alias("closed"))
+    counts = per_split.select(F.col("file").alias("_f"), F.col("start").alias("_s"), F.coalesce(ahead, F.lit(0)).alias("ahead"))
+    numbered = edges.join(counts, (F.col("file") == F.col("_f")) & (F.col("start") == F.col("_s")))
+    # A split has at most one edge that ended, before one that did not.
+    number = F.col("ahead") + F.when(F.col("ended"), 0).otherwise(F.count_if("ended").over(Window.partitionBy("file", "start")))
+    groups = numbered.withColumn("number", number).groupBy("file", "order", "number").agg(
+        F.sort_array(F.collect_list(F.struct("start", "side", "piece"))).alias("pieces"), F.max("ended").alias("ended"), F.first("closed").alias("closed"))
     between = mark.hex().upper()
     hexes = F.array_join(F.transform("pieces", lambda p: F.hex(p["piece"])), between)
     hexes = F.concat(hexes, F.when(~F.col("ended") & F.col("closed"), between).otherwise(""))
-    whole = groups.select("file", "order", F.element_at("pieces", 1)["start"].alias("start"), "number", F.unhex(hexes).alias("piece"), "ended")
-    # By file and split again, so that ids given to the rows rise in the order of the lines.
+    first = F.element_at("pieces", 1)
+    whole = groups.select("file", "order", first["start"].alias("start"), first["side"].alias("side"), "number", F.unhex(hexes).alias("piece"), "ended")
+    # By file and split, so that ids given to the rows rise in the order of the lines.
     return whole.repartition("file", "start").sortWithinPartitions("file", "start", "number").drop("number")
 
 

@@ -4,12 +4,13 @@ import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 from model import assemble
 from pyspark.sql import functions as F
 
 from logloom.operators.assemble import assemble_events, count_events, to_events, unterminated_lines
-from logloom.sources.lines import falling_suffix, modification_order, number_lines, parent_directory, read_lines, rising_suffix
+from logloom.sources.lines import _join_in_splits, falling_suffix, modification_order, number_lines, parent_directory, read_lines, rising_suffix
 
 SMALL_CASES = {
     "leading blank is kept": (["", "a#"], ["~a#"]),
@@ -206,6 +207,21 @@ def test_plain_wide_files_need_no_shuffle_of_text(spark, tmp_path, charset):
     assert "ArrowEvalPython" not in lines._jdf.queryExecution().executedPlan().toString()
 
 
+def test_only_edges_of_splits_are_joined_over_splits():
+    """Pieces of UTF-16BE in two splits, the first one cut inside its third line; the second one's first cut is no newline."""
+    names = ["file", "order", "start", "before", "closed", "piece", "ends"]
+    first = [("f", "", 0, 0, True, piece, piece != b"\0c") for piece in (b"\0a\0", b"\0b\0", b"\0c")]
+    second = [("f", "", 9, 12, True, piece, piece != b"x") for piece in (b"x", b"\0y\0", *[b"\0z\0"] * 50)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in first + second])
+
+    def joined(edges):
+        out = _join_in_splits(2, b"\n", edges)(iter([batch.slice(0, 2), batch.slice(2, 2), batch.slice(4)]))
+        return [(row["start"], row["piece"], row["ended"], row["side"]) for found in out for row in found.to_pylist()]
+
+    assert joined(True) == [(0, b"\0a\0", True, -1), (0, b"\0c", False, 1), (9, b"x\n\0y\0", True, -1)]
+    assert joined(False) == [(0, b"\0b\0", True, 0)] + [(9, b"\0z\0", True, 0)] * 50
+
+
 def test_text_is_read_once(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"f{i}").write_text("a\nb#\n" * 50)

@@ -7,6 +7,7 @@ import pytest
 from check_oracles import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from logloom.plans.queries import WIDE_CHARSETS
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -41,3 +42,13 @@ def test_streamed_table_of_one_file_or_of_a_folder(spark, tmp_path, files):
     streamed = queries()["s7_stream_assembly"](spark, str(folder)).select("stream", "doc_id", "pos", "body", "n_lines").collect()
     batch = queries()["s3_assemble_events"](spark, str(folder)).collect()
     assert streamed and sorted(map(tuple, streamed)) == sorted(map(tuple, batch))
+
+
+def test_wide_files_go_once_their_lines_are_counted(spark, tmp_path):
+    spark.createDataFrame([(1, "one\ntwo"), (2, "one"), (None, "two"), (3, None)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    work = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "logloom"
+    before = set(work.glob("wide-*"))
+    rows = queries()["s2_charset_files"](spark, str(tmp_path)).collect()
+    got = {(row.charset, row.line): row.n for row in rows}
+    assert len(got) == len(rows) and {got[charset, "one"] for charset in WIDE_CHARSETS} == {2}
+    assert not [folder for folder in set(work.glob("wide-*")) - before if not folder.name.startswith("wide-lines-")]
