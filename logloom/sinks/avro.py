@@ -25,6 +25,8 @@ MAGIC = b"Obj\x01"
 CODECS = ("null", "deflate")
 # Bytes of records in a block where no other number is asked for.
 SYNC_INTERVAL = 16_000
+# Bytes of blocks that pass between Spark and Python at a time: a batch for every small block costs more than its records.
+BATCH_BYTES = 1 << 20
 # File that keeps the table's marker; readers of the data pass it by.
 MARKER_FILE = "_sync_marker"
 
@@ -108,16 +110,22 @@ def _blocks(header: bytes, codec: str, sync_interval: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        yield pa.RecordBatch.from_arrays([pa.array([header], pa.binary())], ["block"])
+        done, ready = [header], len(header)
         for batch in batches:
             for record in batch.column(0).to_pylist():
                 held.append(record)
                 size += len(record)
                 if size >= sync_interval:
-                    yield pa.RecordBatch.from_arrays([pa.array([block(held)], pa.binary())], ["block"])
+                    done.append(block(held))
+                    ready += len(done[-1])
                     held, size = [], 0
+                    if ready >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], ["block"])
+                        done, ready = [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([block(held)], pa.binary())], ["block"])
+            done.append(block(held))
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.binary())], ["block"])
 
     return run
 
@@ -199,24 +207,62 @@ class _Reader:
         return pairs
 
 
+def _read_records(data: bytes, n: int, kinds: list[str], columns: list[list]) -> None:
+    """Append the values of ``n`` records with fields of these kinds to their columns."""
+    at, size = 0, len(data)
+    fields = [(kind == "string", kind == "map", column.append) for kind, column in zip(kinds, columns)]
+    for _ in range(n):
+        for is_string, is_map, add in fields:
+            if is_map:
+                reader = _Reader(data)
+                reader.at = at
+                add(reader.map())
+                at = reader.at
+                continue
+            byte = data[at]
+            at += 1
+            number = byte & 127
+            shift = 7
+            while byte > 127:
+                byte = data[at]
+                at += 1
+                number |= (byte & 127) << shift
+                shift += 7
+            number = (number >> 1) ^ -(number & 1)
+            if is_string:
+                start, at = at, at + number
+                if number < 0 or at > size:
+                    raise ValueError("a block of the container is cut short")
+                add(data[start:at].decode("utf-8", "replace"))
+            else:
+                add(number)
+
+
 def _decoded(fields: list[tuple[str, str]], wanted: list[str], codec: str):
     """Rows of blocks whose records have ``fields`` (name, type), with the ``wanted`` ones by name."""
     places = {name: i for i, (name, _) in enumerate(fields)}
-    kinds = dict(fields)
+    kinds = [kind for _, kind in fields]
     arrow = {"map": pa.map_(pa.string(), pa.string()), "string": pa.string(), "int": pa.int32(), "long": pa.int64()}
 
+    def rows_of(columns: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[places[name]], arrow[kinds[places[name]]]) for name in wanted], wanted)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns, held = [[] for _ in fields], 0
         for batch in batches:
             for data in batch.column(0).to_pylist():
                 block = _Reader(data)
                 n, packed = block.long(), block.bytes()
                 if block.at != len(data):
                     raise ValueError("a block of the container holds its marker")
-                reader = _Reader(zlib.decompress(packed, wbits=-15) if codec == "deflate" else packed)
-                read = [{"map": reader.map, "string": reader.string}.get(kind, reader.long) for _, kind in fields]
-                rows = [[value() for value in read] for _ in range(n)]
-                columns = [pa.array([row[places[name]] for row in rows], arrow[kinds[name]]) for name in wanted]
-                yield pa.RecordBatch.from_arrays(columns, wanted)
+                unpacked = zlib.decompress(packed, wbits=-15) if codec == "deflate" else packed
+                _read_records(unpacked, n, kinds, columns)
+                held += len(unpacked)
+                if held >= BATCH_BYTES:
+                    yield rows_of(columns)
+                    columns, held = [[] for _ in fields], 0
+        if held:
+            yield rows_of(columns)
 
     return run
 

@@ -2,6 +2,7 @@ import json
 import re
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from logloom.operators.access_log import parse_access_log
 from logloom.operators.app_log import parse_app_log
 from logloom.plans.tables import access_log_table, app_log_table, syslog_table
 from logloom.schemas import TABLES, avro_schema
-from logloom.sinks.avro import read_avro, write_avro
+from logloom.sinks.avro import _blocks, _decoded, read_avro, write_avro
 from logloom.sinks.tables import read_good, read_rejects, read_table, stream_table, write_table, write_with_rejects
 
 BODIES = ["[#|2021-09-17T04:05:59.041+0230|FINE|s|c|t|one|#]", "plain", "", "x|bad|INFO|rest"]
@@ -251,3 +252,17 @@ def test_empty_and_refused_containers(spark, tmp_path):
     write_table(parse_app_log(spark.createDataFrame([({}, f"a {marker} b")], "headers map<string,string>, body string")), path, "app", "avro")
     with pytest.raises(Exception, match="container"):
         read_table(spark, path, "app", "avro").collect()
+
+
+def test_small_blocks_pass_in_large_batches():
+    """Batches between Spark and Python are as many as the bytes call for, however small the blocks."""
+    records = [bytes([0, 4]) + b"%02d" % (i % 100) for i in range(500)]
+    given = [pa.RecordBatch.from_pydict({"record": pa.array(part, pa.binary())}) for part in (records[:123], records[123:])]
+    written = list(_blocks(b"header", "null", 10)(iter(given)))
+    assert len(written) == 1
+    header, *blocks = written[0].column(0).to_pylist()
+    assert header == b"header" and len(blocks) > 100
+    batch = pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.binary())})
+    read = list(_decoded([("headers", "map"), ("body", "string")], ["headers", "body"], "null")(iter([batch])))
+    assert [row for found in read for row in found.to_pylist()] == [{"headers": [], "body": "%02d" % (i % 100)} for i in range(500)]
+    assert len(read) == 1
