@@ -1,12 +1,17 @@
 """License scans: a trained classifier of short units, an unknown class, and a comparison with templates, as DataFrame operations only.
 
 Texts are cut into units, at line breaks and at sentence ends. Hashed word n-grams of a unit go into a multinomial logistic
-regression over ordinary text, the families below, and unknown licences. Neighbouring units that it takes for licences make a
-passage, as notices are wrapped over lines, and a family is believed where one of its templates is found in the passage.
+regression over ordinary text, the families below, and unknown licences. Its features are the places of the n-grams of the fixed
+texts below, so that all units of a corpus come down to far fewer vectors, and it is fitted on all of them, by their numbers.
+Neighbouring units that it takes for licences make a passage, as notices are wrapped over lines, and a family is believed where
+one of its templates is found in the passage.
 """
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.functions.settle import settle
+from logloom.plans.scratch import saved
 
 # Public notices by family; "unknown" has notices of no family.
 TEMPLATES = {
@@ -109,9 +115,14 @@ TEXT = "text"
 UNKNOWN = "unknown"
 CLASSES = [TEXT, *sorted(TEMPLATES)]
 FEATURES = 1 << 16
-SAMPLE_UNITS = 4_000
+# The weight of all ordinary units together, at most; that of a fixed text is 20.
+ORDINARY_WEIGHT = 4_000
 LEAST_OVERLAP = 0.6
 CANDIDATE, SURE = 0.5, 0.2
+# One ordinary unit in so many may fall below the limit of candidates, and below that of unknown licences.
+ONE_CANDIDATE_IN, ONE_UNKNOWN_IN = 1_000, 4_000
+# Limits are powers of two to this part.
+STEPS = 64
 FRAMES = ["{}", "Note: {}", "Code and data: {}", "The files in this folder are {}", "{} (see the file LICENSE)"]
 WIDTHS = (7, 10, 14)
 
@@ -122,9 +133,8 @@ def units(text: Column) -> Column:
 
 
 def _tokens(unit: Column) -> Column:
-    """Lower-case runs of letters, digits and inner dots, plus signs and hyphens; one empty string for a unit without any."""
-    plain = F.regexp_replace(F.lower(unit), r"[^a-z0-9.+\-\x{80}-\x{10FFFF}]+|[.+\-]+(?![a-z0-9])", " ")
-    return F.split(F.btrim(plain), " +")
+    """Lower-case runs of letters, digits and inner dots, plus signs and hyphens; none for a unit without any."""
+    return F.array_remove(F.split(F.lower(unit), r"[^a-z0-9.+\-\x{80}-\x{10FFFF}]+|[.+\-]+(?![a-z0-9])"), "")
 
 
 def _with_grams(df: DataFrame) -> DataFrame:
@@ -136,20 +146,16 @@ def _with_grams(df: DataFrame) -> DataFrame:
         "triples": F.transform(after(2), lambda h, i: F.xxhash64(h, F.get("words", i + 1), F.get("words", i + 2)))})
 
 
-def _featured(df: DataFrame) -> DataFrame:
-    """Binary counts of the grams of the column ``unit``; units without a token go."""
-    # Settled: filters on scores would be pushed below with the tokens' expression copied into the loops over them, where it
-    # is evaluated for every single gram.
-    cut = settle(df.withColumn("tokens", _tokens(F.col("unit"))), "tokens").where(F.get("tokens", F.lit(0)) != "")
-    grams = _with_grams(cut).withColumn("grams", F.concat("words", "pairs", "triples")).drop("words", "pairs", "triples")
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features", binary=True).transform(grams).drop("grams")
-
-
 def _with_settled_grams(df: DataFrame) -> DataFrame:
     """All hashes of words, pairs and triples in the column ``grams``, computed once however often templates are compared with them."""
     return settle(_with_grams(df).withColumn("grams", F.concat("words", "pairs", "triples")).drop("words", "pairs", "triples"), "grams")
 
 
+def _place(gram: Column) -> Column:
+    """The number of a gram's feature; grams may share one."""
+    return F.pmod(F.hash(gram), F.lit(FEATURES))
+
+
 def template_rows(spark) -> DataFrame:
     """family and the longest grams of every template, up to triples (``own``)."""
     rows = spark.createDataFrame([(family, text) for family, texts in TEMPLATES.items() for text in texts], "family string, unit string")
@@ -177,42 +183,107 @@ def _variants(text: str, frames: list[str]) -> list[str]:
     return [frame.replace("{}", text) for frame in frames] + [" ".join(line) for line in wrapped if len(line) > 3]
 
 
-def _training_rows(documents: DataFrame, most: int) -> DataFrame:
-    """unit, label and weight: variants of the templates and of talk about licences, and ordinary units of the corpus.
-
-    Ordinary are at most ``most`` distinct units, those with the lowest hash, but for those that are templates themselves.
-    """
-    spark = documents.sparkSession
+def _fixed_units(spark) -> DataFrame:
+    """grams, label and weight: variants of the templates and of talk about licences."""
     fixed = [(v, float(CLASSES.index(family)), 20.0) for family, texts in TEMPLATES.items() for text in texts for v in _variants(text, FRAMES)]
     fixed += [(v, 0.0, 20.0) for text in TALK for v in _variants(text, ["{}"])]
-    variants = spark.createDataFrame(fixed, "unit string, label double, weight double")
-    lines = documents.select(F.explode(units(F.col("text"))).alias("unit")).where("unit != ''").select("unit", F.xxhash64("unit").alias("_h"))
-    # About four times as many as wanted lie below the cut, so that neither texts nor ranks of all units are shuffled.
-    n = lines.agg(F.approx_count_distinct("_h")).first()[0]
-    cut = min((1 << 63) - 1, int(min(1.0, 4 * most / max(n, 1)) * (1 << 64)) - (1 << 63))
-    lowest = lines.where(F.col("_h") <= cut).groupBy("_h").agg(F.min("unit").alias("unit")).orderBy("_h").limit(most)
-    grams = _with_settled_grams(lowest.select("unit", _tokens(F.col("unit")).alias("tokens")))
-    of_any = F.flatten(F.transform(_families(spark), lambda family: family["own"]))
-    ordinary = grams.where(_overlap(of_any) < LEAST_OVERLAP)
-    return variants.unionByName(ordinary.select("unit", F.lit(0.0).alias("label"), F.lit(1.0).alias("weight")))
-
-
-def train_classifier(documents: DataFrame, most: int = SAMPLE_UNITS) -> tuple[LogisticRegressionModel, float, float]:
+    rows = spark.createDataFrame(fixed, "unit string, label double, weight double")
+    return _with_settled_grams(rows.withColumn("tokens", _tokens(F.col("unit"))))
+
+
+def _fixed_grams(spark) -> DataFrame:
+    """gram and place of all n-grams of the fixed units, which bound their number."""
+    return _fixed_units(spark).select(F.explode("grams").alias("gram")).distinct().withColumn("place", _place(F.col("gram")))
+
+
+def _one_of(places: list[int]):
+    """A test whether a number is one of ``places``, by a constant map of bits."""
+    words = [0] * (FEATURES // 64)
+    for place in places:
+        words[place // 64] |= 1 << place % 64
+    bits = F.from_json(F.lit(json.dumps([word - (1 << 64) if word >> 63 else word for word in words])), "array<bigint>")
+    return lambda place: F.getbit(F.get(bits, F.shiftright(place, 6)), place.bitwiseAND(63)) == 1
+
+
+def unit_rows(documents: DataFrame) -> DataFrame:
+    """doc_id, _t (hash of the text), number, unit and places (features, ascending) of every unit with a token.
+
+    Units without any feature are all alike to the classifier; they have their hash ``_h`` only.
+    """
+    known = _one_of([row["place"] for row in _fixed_grams(documents.sparkSession).collect()])
+    rows = documents.select("doc_id", F.xxhash64("text").alias("_t"), F.posexplode(units(F.col("text"))).alias("number", "unit")).where("unit != ''")
+    cut = settle(rows.withColumn("tokens", _tokens(F.col("unit"))), "tokens").where(F.size("tokens") > 0)
+    found = F.filter(F.concat("words", "pairs", "triples"), lambda gram: known(_place(gram)))
+    placed = settle(_with_grams(cut).withColumn("places", F.array_sort(F.array_distinct(F.transform(found, _place)))), "places")
+    some = F.size("places") > 0
+    return placed.select(*[F.when(some, F.col(name)).alias(name) for name in ("doc_id", "_t", "number", "unit")], "places",
+                         F.when(~some, F.xxhash64("unit")).alias("_h"))
+
+
+def _featured(rows: DataFrame) -> DataFrame:
+    """A vector of ones at the ``places``: they are hashed anew, each from one gram of the fixed texts that has it."""
+    fixed = _fixed_grams(rows.sparkSession).groupBy("place").agg(F.min("gram").alias("gram")).collect()
+    gram_of = {row["place"]: row["gram"] for row in fixed}
+    held = F.from_json(F.lit(json.dumps([gram_of.get(place, 0) for place in range(FEATURES)])), "array<bigint>")
+    grams = rows.withColumn("_grams", F.transform("places", lambda place: F.get(held, place)))
+    return HashingTF(numFeatures=FEATURES, inputCol="_grams", outputCol="features", binary=True).transform(grams).drop("_grams")
+
+
+def ordinary_vectors(rows: DataFrame) -> DataFrame:
+    """places, and the number n of distinct units that have them, over all rows but those near a template.
+
+    Near is a unit with at least ``LEAST_OVERLAP`` of a template's places, one of them of the template's longest grams.
+    """
+    spark = rows.sparkSession
+    texts = spark.createDataFrame([(text,) for texts in TEMPLATES.values() for text in texts], "unit string")
+    grams = _with_settled_grams(texts.withColumn("tokens", _tokens(F.col("unit"))))
+    templates = [row[0] for row in grams.select(F.array_distinct(F.transform("grams", _place))).collect()]
+    longest = _one_of([row[0] for row in template_rows(spark).select(F.explode(F.transform("own", _place))).collect()])
+    held = F.from_json(F.lit(json.dumps(templates)), "array<array<int>>")
+    near = F.when(F.exists("places", longest), F.exists(held, lambda t: F.size(F.array_intersect(t, F.col("places"))) >= LEAST_OVERLAP * F.size(t))).otherwise(False)
+    distinct = rows.select("places", F.coalesce("_h", F.xxhash64("unit")).alias("_h")).distinct()
+    return settle(distinct.groupBy("places").agg(F.count(F.lit(1)).alias("n")).withColumn("_near", near), "_near").where(~F.col("_near")).drop("_near")
+
+
+def _limit(below: list[tuple[int, int]], allowed: int, most: float) -> float:
+    """The highest step, ``most`` at most, below which there are no more than ``allowed`` units; ``below`` has their numbers by step."""
+    for step, n in below:
+        if n > allowed:
+            return min(most, 2 ** (step / STEPS))
+        allowed -= n
+    return most
+
+
+def fit_classifier(rows: DataFrame) -> tuple[LogisticRegressionModel, float, float]:
+    """``train_classifier`` for the rows of ``unit_rows``, which are read once."""
+    spark = rows.sparkSession
+    vectors = saved(ordinary_vectors(rows), "license-vectors")
+    n = vectors.agg(F.sum("n")).first()[0] or 0
+    share = min(1.0, ORDINARY_WEIGHT / max(n, 1))
+    fixed = _fixed_units(spark).select(F.array_sort(F.array_distinct(F.transform("grams", _place))).alias("places"), "label", "weight")
+    fitted = fixed.unionByName(vectors.select("places", F.lit(0.0).alias("label"), (F.col("n") * share).alias("weight")))
+    parts = max(4, spark.sparkContext.defaultParallelism)  # each sends a gradient per step
+    model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=40, family="multinomial").fit(
+        _featured(fitted).select("features", "label", "weight").coalesce(parts))
+    plain = settle(model.transform(_featured(vectors)).withColumn("_p", vector_to_array("probability")[0]), "_p").where(F.col("_p") < CANDIDATE)
+    step = F.floor(F.log2(F.greatest("_p", F.lit(1e-300))) * STEPS).cast("int")
+    below = [tuple(row) for row in plain.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).orderBy("step").collect()]  # 64,000 steps at most
+    # Units without features are never candidates.
+    intercepts = model.interceptVector.toArray()
+    empty = math.exp(intercepts[0] - intercepts.max()) / sum(math.exp(i - intercepts.max()) for i in intercepts)
+    limit = min(_limit(below, n // ONE_CANDIDATE_IN, CANDIDATE), empty)
+    return model, limit, min(limit, _limit(below, n // ONE_UNKNOWN_IN, SURE))
+
+
+def train_classifier(documents: DataFrame) -> tuple[LogisticRegressionModel, float, float]:
     """The classifier, and two limits for the probability of being ordinary: of candidates, and of unknown licences.
 
-    It is fitted on the variants and at most ``most`` ordinary units. Another such number, of units it was not fitted on, calibrates
-    the limits. Below the first, never over ``CANDIDATE``, a unit is compared with templates; at most one ordinary unit in 1,000 may
-    fall below it. A passage that no template confirms is an unknown licence only if a unit falls below the second, which is never
-    over ``SURE`` and below which no set-aside unit falls.
+    It is fitted on the variants and all distinct ordinary units of the corpus, which together weigh ``ORDINARY_WEIGHT`` at most. All of
+    them calibrate the limits. Below the first, never over ``CANDIDATE``, a unit is compared with templates; at most one ordinary unit in
+    1,000 falls below it. A passage that no template confirms is an unknown licence only if a unit falls below the second, which is never
+    over ``SURE`` and below which at most one ordinary unit in 4,000 falls.
     """
-    rows = _featured(_training_rows(documents, 2 * most)).withColumn("_side", F.when(F.col("weight") > 1, 0).otherwise(F.pmod(F.xxhash64("unit"), F.lit(2))))
-    rows = rows.select("features", "label", "weight", "_side").coalesce(4).persist()  # a bounded sample; each part sends a gradient per step
-    model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=40, family="multinomial").fit(rows.where("_side = 0"))
-    aside = model.transform(rows.where("_side = 1")).select(vector_to_array("probability")[0].alias("p"))
-    low, least = aside.agg(F.percentile("p", 0.001), F.min("p")).first()
-    rows.unpersist()
-    limit = min(CANDIDATE, low if low is not None else CANDIDATE)
-    return model, limit, min(limit, SURE, least if least is not None else SURE)
+    return fit_classifier(saved(unit_rows(documents), "license-units"))
 
 
 def license_passages(documents: DataFrame, model: LogisticRegressionModel, limit: float, unknown_limit: float, least_overlap: float = LEAST_OVERLAP) -> DataFrame:
@@ -223,12 +294,16 @@ def license_passages(documents: DataFrame, model: LogisticRegressionModel, limit
     The families are those that the classifier names for a unit and that ``least_overlap`` confirms; a passage without one is
     ``unknown`` or none. Rows equal in doc_id and text count once.
     """
-    spark = documents.sparkSession
-    rows = documents.select("doc_id", F.xxhash64("text").alias("_t"), F.posexplode(units(F.col("text"))).alias("number", "unit")).where("unit != ''")
-    scored = settle(model.transform(_featured(rows)).withColumn("_p", vector_to_array("probability")), "_p")
+    return passages_of_units(unit_rows(documents), model, limit, unknown_limit, least_overlap)
+
+
+def passages_of_units(rows: DataFrame, model: LogisticRegressionModel, limit: float, unknown_limit: float, least_overlap: float = LEAST_OVERLAP) -> DataFrame:
+    """``license_passages`` for the rows of ``unit_rows``."""
+    spark = rows.sparkSession
+    scored = settle(model.transform(_featured(rows.where(F.size("places") > 0))).withColumn("_p", vector_to_array("probability")), "_p")
     best = F.array_position("_p", F.array_max(F.slice("_p", 2, len(CLASSES)))).cast("int")
     found = scored.where(F.col("_p")[0] < limit).select(
-        "doc_id", "_t", "number", "unit", "tokens", F.col("_p")[0].alias("_plain"), F.element_at(F.array(*[F.lit(c) for c in CLASSES]), best).alias("family"))
+        "doc_id", "_t", "number", "unit", _tokens(F.col("unit")).alias("tokens"), F.col("_p")[0].alias("_plain"), F.element_at(F.array(*[F.lit(c) for c in CLASSES]), best).alias("family"))
     found = found.dropDuplicates(["doc_id", "_t", "number"])
     found = found.withColumn("_run", F.col("number") - F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy("number")))
     runs = found.groupBy("doc_id", "_t", "_run").agg(
@@ -250,7 +325,8 @@ def scan_licenses(documents: DataFrame) -> DataFrame:
 
     Null, empty and blank texts have none. Rows that share a doc_id (or have none) get what was found in all of them; equal texts among them count once.
     """
-    found = license_passages(documents, *train_classifier(documents))
+    rows = saved(unit_rows(documents), "license-units")
+    found = passages_of_units(rows, *fit_classifier(rows))
     per_doc = found.groupBy(F.col("doc_id").alias("_id")).agg(
         F.array_join(F.array_sort(F.collect_set("family")), ",").alias("licenses"), F.count(F.lit(1)).alias("n_licenses"),
         F.count(F.when(F.col("family") == UNKNOWN, 1)).alias("n_unknown"))

@@ -2,6 +2,7 @@
 
 import re
 import struct
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -115,3 +116,23 @@ def test_repeated_rows_count_once(spark, documents):
     rows = [(1, "Released under the MIT License.")] * 5 + [(1, prose(1, 30)), (None, "Licensed under CC BY 4.0."), (None, None), (2, None), (3, "")] + [(i, prose(i, 40)) for i in range(4, 30)]
     got = [tuple(r) for r in licenses.scan_licenses(documents(rows, extra=True)).collect()]
     assert sorted(got, key=repr) == sorted([(1, "mit", 1, 0)] * 6 + [(None, "cc-by", 1, 0)] * 2 + [(i, "", 0, 0) for i in range(2, 30)], key=repr)
+
+
+def places_of(tokens):
+    hashes = [word_hash(token) for token in tokens]
+    grams = hashes + [word_hash(*hashes[i : i + n]) for n in (2, 3) for i in range(len(hashes) - n + 1)]
+    return {murmur_of_long(gram) % licenses.FEATURES for gram in grams}
+
+
+def test_every_distinct_unit_counts_in_the_fit(spark, documents):
+    texts = [f"{prose(i, 4, 60)} the license of number {i}\n{prose(i, 3, 60)}. {i}" for i in range(9_000)]
+    rows = [(i, "\n".join(texts[100 * i : 100 * i + 100])) for i in range(90)]
+    rows += [(90, texts[0]), (91, None), (92, ""), (93, "Released under the MIT License."), (None, texts[1])]
+    fixed = [v for ts in licenses.TEMPLATES.values() for t in ts for v in licenses._variants(t, licenses.FRAMES)]
+    fixed += [v for t in licenses.TALK for v in licenses._variants(t, ["{}"])]
+    known = set().union(*(places_of(tokens_of(text)) for text in fixed))
+    units = {unit for _, text in rows[:90] for unit in re.split(r"\n|(?<=[.!?;:])[ \t]+(?=[A-Z(\"])", text) if tokens_of(unit)}
+    assert len(units) > 16_000
+    want = Counter(tuple(sorted(places_of(tokens_of(unit)) & known)) for unit in units)
+    got = {tuple(r["places"]): r["n"] for r in licenses.ordinary_vectors(licenses.unit_rows(documents(rows))).collect()}
+    assert got == want
