@@ -152,8 +152,8 @@ def _with_settled_grams(df: DataFrame) -> DataFrame:
 
 
 def _place(gram: Column) -> Column:
-    """The number of a gram's feature; grams may share one."""
-    return F.pmod(F.hash(gram), F.lit(FEATURES))
+    """The number of a gram's feature, its hash modulo their number, a power of two; grams may share one."""
+    return F.hash(gram).bitwiseAND(F.lit(FEATURES - 1))
 
 
 def template_rows(spark) -> DataFrame:
@@ -197,12 +197,10 @@ def _fixed_grams(spark) -> DataFrame:
 
 
 def _one_of(places: list[int]):
-    """A test whether a number is one of ``places``, by a constant map of bits."""
-    words = [0] * (FEATURES // 64)
-    for place in places:
-        words[place // 64] |= 1 << place % 64
-    bits = F.from_json(F.lit(json.dumps([word - (1 << 64) if word >> 63 else word for word in words])), "array<bigint>")
-    return lambda place: F.getbit(F.get(bits, F.shiftright(place, 6)), place.bitwiseAND(63)) == 1
+    """A test whether a number is one of ``places``, by a constant table: one step for each gram of a corpus."""
+    held = set(places)
+    table = F.from_json(F.lit(json.dumps([int(place in held) for place in range(FEATURES)])), "array<tinyint>").cast("array<boolean>")
+    return lambda place: F.get(table, place)
 
 
 def unit_rows(documents: DataFrame) -> DataFrame:
@@ -245,6 +243,20 @@ def ordinary_vectors(rows: DataFrame) -> DataFrame:
     return settle(distinct.groupBy("places").agg(F.count(F.lit(1)).alias("n")).withColumn("_near", near), "_near").where(~F.col("_near")).drop("_near")
 
 
+def below_limit(model: LogisticRegressionModel, limit: float) -> Column:
+    """Whether the probability of being ordinary, given ``places``, may be below the limit: true wherever it is, false for most other units.
+
+    The odds of a licence are a sum over its classes. They grow, with each place, by no more than the largest lead that a class has there.
+    """
+    if not 0 < limit < 1:
+        return F.lit(limit >= 1)
+    intercepts, coefficients = model.interceptVector.toArray(), model.coefficientMatrix.toArray()
+    lead = (coefficients[1:] - coefficients[0]).max(axis=0)
+    least = math.log(1 / limit - 1) - math.log(sum(math.exp(i - intercepts[0]) for i in intercepts[1:]))
+    leads = F.from_json(F.lit(json.dumps([value or 0 for value in lead.tolist()])), "array<double>")
+    return F.aggregate("places", F.lit(0.0), lambda total, place: total + F.get(leads, place)) > least - 1e-6  # far more than rounding
+
+
 def _limit(below: list[tuple[int, int]], allowed: int, most: float) -> float:
     """The highest step, ``most`` at most, below which there are no more than ``allowed`` units; ``below`` has their numbers by step."""
     for step, n in below:
@@ -265,7 +277,7 @@ def fit_classifier(rows: DataFrame) -> tuple[LogisticRegressionModel, float, flo
     parts = max(4, spark.sparkContext.defaultParallelism)  # each sends a gradient per step
     model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=40, family="multinomial").fit(
         _featured(fitted).select("features", "label", "weight").coalesce(parts))
-    plain = settle(model.transform(_featured(vectors)).withColumn("_p", vector_to_array("probability")[0]), "_p").where(F.col("_p") < CANDIDATE)
+    plain = settle(model.transform(_featured(vectors.where(below_limit(model, CANDIDATE)))).withColumn("_p", vector_to_array("probability")[0]), "_p").where(F.col("_p") < CANDIDATE)
     step = F.floor(F.log2(F.greatest("_p", F.lit(1e-300))) * STEPS).cast("int")
     below = [tuple(row) for row in plain.groupBy(step.alias("step")).agg(F.sum("n").alias("n")).orderBy("step").collect()]  # 64,000 steps at most
     # Units without features are never candidates.
@@ -298,9 +310,10 @@ def license_passages(documents: DataFrame, model: LogisticRegressionModel, limit
 
 
 def passages_of_units(rows: DataFrame, model: LogisticRegressionModel, limit: float, unknown_limit: float, least_overlap: float = LEAST_OVERLAP) -> DataFrame:
-    """``license_passages`` for the rows of ``unit_rows``."""
+    """``license_passages`` for the rows of ``unit_rows``. Units that cannot be below the limit are not scored."""
     spark = rows.sparkSession
-    scored = settle(model.transform(_featured(rows.where(F.size("places") > 0))).withColumn("_p", vector_to_array("probability")), "_p")
+    maybe = rows.where(F.size("places") > 0).where(below_limit(model, limit))
+    scored = settle(model.transform(_featured(maybe)).withColumn("_p", vector_to_array("probability")), "_p")
     best = F.array_position("_p", F.array_max(F.slice("_p", 2, len(CLASSES)))).cast("int")
     found = scored.where(F.col("_p")[0] < limit).select(
         "doc_id", "_t", "number", "unit", _tokens(F.col("unit")).alias("tokens"), F.col("_p")[0].alias("_plain"), F.element_at(F.array(*[F.lit(c) for c in CLASSES]), best).alias("family"))

@@ -136,3 +136,18 @@ def test_every_distinct_unit_counts_in_the_fit(spark, documents):
     want = Counter(tuple(sorted(places_of(tokens_of(unit)) & known)) for unit in units)
     got = {tuple(r["places"]): r["n"] for r in licenses.ordinary_vectors(licenses.unit_rows(documents(rows))).collect()}
     assert got == want
+
+
+def test_only_units_that_may_be_below_the_limit_are_scored(spark, documents, trained):
+    model, limit, _ = trained
+    talk = [f"{prose(i, 12)}." for i in range(300)] + [f"{prose(i, 5)} the license {prose(i + 1, 5)}" for i in range(50)]
+    texts = [*talk, *licenses.TALK, GPL, BSD, MIT, *(t for ts in licenses.TEMPLATES.values() for t in ts)]
+    rows = licenses.unit_rows(documents(list(enumerate(texts)))).where("size(places) > 0")
+    exact = {r["unit"]: probabilities(model, tokens_of(r["unit"]))[0] for r in rows.collect()}
+    for level in (1e-9, 0.01, limit, 0.5, 0.9):
+        kept = {r["unit"] for r in rows.where(licenses.below_limit(model, level)).collect()}
+        assert {unit for unit, p in exact.items() if p < level} <= kept
+        if level <= 0.5:
+            assert len(kept) < 0.5 * len(exact)
+    assert rows.where(licenses.below_limit(model, 0.0)).count() == 0
+    assert rows.where(licenses.below_limit(model, 1.0)).count() == rows.count()
