@@ -4,6 +4,10 @@ A trigger is the place of the smallest rolling hash of ``GRAM`` bytes among thos
 the window's bytes alone, so that equal windows have their trigger at the same place, and every window has one. Consecutive windows with one
 trigger make a phrase: it owns these windows' starts, and its bytes reach to the end of the last window. Phrases
 overlap by LENGTH - 1 bytes, each window lies in exactly one, and no phrase is a proper prefix of what another one with its trigger owns.
+
+A phrase's key is the hash of the trigger with REACH bytes more on the side where all its windows have them. Windows that reach so far to
+the left make one phrase, the others, which all reach so far to the right, the next. In a large corpus nearly every GRAM bytes
+occur somewhere else, but GRAM + REACH bytes hardly do unless a passage is repeated.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ import numpy as np
 
 LENGTH = 50
 GRAM = 16
+REACH = (LENGTH - GRAM) // 2
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -50,8 +55,17 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+def _reaching(h: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Hash of the GRAM + REACH bytes from each of the places on, of parts that overlap; the parts are hashed already."""
+    whole = h[place] * _MULTIPLIERS[1] + h[place + REACH]
+    whole ^= whole >> np.uint64(31)
+    whole = whole * _MULTIPLIERS[2] + h[place + REACH - 1]
+    whole = (whole ^ (whole >> np.uint64(29))) * _MULTIPLIERS[0]
+    return whole ^ (whole >> np.uint64(32))
+
+
 def phrases(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window start, number of windows, trigger's hash) of each phrase of texts that lie one after the other.
+    """(first window start, number of windows, key) of each phrase of texts that lie one after the other.
 
     ``ends`` has the end of each text; no window reaches over one. At most 2**24 bytes.
     """
@@ -69,14 +83,15 @@ def phrases(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     np.add.at(inside, starts[long], 1)
     np.add.at(inside, ends[long] - LENGTH + 1, -1)
     inside = np.cumsum(inside[: len(trigger)]) > 0
+    left = trigger - np.arange(len(trigger)) >= REACH
     new = inside.copy()
-    new[1:] &= (trigger[1:] != trigger[:-1]) | ~inside[:-1]
+    new[1:] &= (trigger[1:] != trigger[:-1]) | (left[1:] != left[:-1]) | ~inside[:-1]
     last = inside.copy()
     last[:-1] &= new[1:] | ~inside[1:]
     new[starts[long]] = True
     at = np.flatnonzero(new)
     n = np.flatnonzero(last) - at + 1
-    return at, n, h[trigger[at]]
+    return at, n, _reaching(h, trigger[at] - np.where(left[at], REACH, 0))
 
 
 def all_phrases(data: np.ndarray, ends: np.ndarray, most: int = 8 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

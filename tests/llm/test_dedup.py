@@ -184,3 +184,63 @@ def test_long_texts_are_parsed_in_parts():
     ends = np.array([10, 40_000, 40_030, len(data)])
     covered = lambda found: sorted(i for a, n in zip(found[0], found[1]) for i in range(a, a + n))
     assert covered(all_phrases(data, ends, most=7_001)) == covered(all_phrases(data, ends))
+
+
+def test_equal_windows_have_one_key():
+    from logloom.llm.parsing import GRAM, LENGTH, REACH, all_phrases
+
+    words = [prose(k, 12, 3) for k in range(5)]
+    rng = random.Random(2)
+    data = " ".join(rng.choice(words) for _ in range(200)).encode()
+    ends = np.array([30, 4_000, len(data)])
+    at, n, keys = all_phrases(np.frombuffer(data, dtype=np.uint8), ends)
+    key_of, bytes_of = {}, {}
+    for a, m, key in zip(at.tolist(), n.tolist(), keys.tolist()):
+        common = data[a + m - 1 : a + LENGTH]
+        assert len(common) >= GRAM + REACH
+        held = {common[i : i + GRAM + REACH] for i in range(len(common) - GRAM - REACH + 1)}
+        bytes_of[key] = bytes_of.get(key, held) & held
+        for i in range(m):
+            assert key_of.setdefault(data[a + i : a + i + LENGTH], key) == key
+    # What phrases of a key have in common is as long as the key's bytes.
+    assert all(bytes_of.values())
+    windows = {data[i : i + LENGTH] for b, e in ((30, 4_000), (4_000, len(data))) for i in range(b, e - LENGTH + 1)}
+    assert set(key_of) == windows
+
+
+def test_grams_in_common_are_no_candidates(documents):
+    """Texts of words that all others have, in an order of their own, say little to the shards of keys."""
+    rng = random.Random(3)
+    words = [prose(k, 9)[:24] for k in range(300)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(40))) for i in range(30)] + [(99, prose(7, 60)), (100, prose(7, 60))]
+    packs = phrases.pack_texts(documents(rows))
+    answers = phrases.shared_keys(packs, 8).collect()
+    marked = sum(int.from_bytes(r["shared"], "big").bit_count() for r in answers)
+    pack = phrases.Pack(packs.first()["blob"]).phrases(8)
+    assert 0 < marked < len(pack.firsts) / 10
+    grams = {}
+    for doc, text in rows[:30]:
+        for i in range(len(text) - 15):
+            grams.setdefault(text[i : i + 16], set()).add(doc)
+    assert sum(len(d) > 1 for d in grams.values()) > len(grams) / 8
+
+
+def test_removal_leaves_no_shuffles(spark, documents):
+    import time
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    found = phrases.remove_repeats(documents(repeat_rows()))
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(key) == was
+    assert sorted([tuple(r) for r in found.collect()], key=repr) == slow_removal(repeat_rows())
