@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 _ALIASES = {"WINDOWS-31J": "cp932", "X-WINDOWS-949": "cp949", "X-EUC-TW": "big5"}
 
 # One well-formed character of each charset at the place where the last one ended, and one unit that is not. Bytes are matched as
-# the characters U+0000 to U+00FF.
-_ANY = r"[\s\S]"
+# the characters U+0000 to U+00FF. A dot stands for any of them, as all patterns begin with ``(?s)``: Java tests a class of all characters
+# ten times as long.
+_ANY = "."
 _CHARACTERS = {
     "utf-16-le": (rf"{_ANY}[^\xD8-\xDF]|{_ANY}[\xD8-\xDB]{_ANY}[\xDC-\xDF]", rf"{_ANY}[\xD8-\xDB]{_ANY}\z|{_ANY}{{2}}|{_ANY}\z"),
     "utf-16-be": (rf"[^\xD8-\xDF]{_ANY}|[\xD8-\xDB]{_ANY}[\xDC-\xDF]{_ANY}", rf"[\xD8-\xDB]{_ANY}{{2}}\z|{_ANY}{{2}}|{_ANY}\z"),
@@ -50,7 +51,7 @@ def decode_bytes(value: Column, charset: str = "UTF-8") -> Column:
     if name in _MARKS:
         return _by_mark(latin, name)
     if name in _CHARACTERS:
-        return _units(latin, name)
+        return _units(latin, name, value.cast("binary"))
     table = _single_bytes(name)
     if table is None:
         return _decoder(name)(value.cast("binary"))
@@ -72,14 +73,16 @@ def _by_mark(latin: Column, name: str) -> Column:
     return F.when(latin.startswith(little), _units(rest, first)).when(latin.startswith(big), _units(rest, second)).otherwise(_units(latin, first))
 
 
-def _units(latin: Column, name: str) -> Column:
-    """Decode bytes, given as characters up to U+00FF, of a charset with units of two or four bytes."""
+def _units(latin: Column, name: str, value: Column | None = None) -> Column:
+    """Decode bytes, given as characters up to U+00FF, of a charset with units of two or four bytes; ``value`` has them as bytes."""
     good, bad = _CHARACTERS[name]
-    well_formed = latin.rlike(rf"\A(?:{_UNIFORM[name]})*+\z") | (F.regexp_replace(latin, rf"\G(?:{good})", "") == "")
+    well_formed = latin.rlike(rf"(?s)\A(?:{_UNIFORM[name]})*+\z") | (F.regexp_replace(latin, rf"(?s)\G(?:{good})", "") == "")
     # Characters are followed by both marks, other units stand between them.
-    marked = F.regexp_replace(latin, rf"\G({good})|\G({bad})", f"$1{_GOOD}$2{_BAD}")
+    marked = F.regexp_replace(latin, rf"(?s)\G({good})|\G({bad})", f"$1{_GOOD}$2{_BAD}")
     mended = F.translate(F.regexp_replace(marked, f"{_GOOD}[^{_GOOD}{_BAD}]+{_BAD}", _REPLACEMENT[name]), _GOOD + _BAD, "")
-    whole = F.encode(F.when(well_formed, latin).otherwise(mended), "ISO-8859-1")
+    if value is None:
+        value = F.encode(latin, "ISO-8859-1")
+    whole = F.when(well_formed, value).otherwise(F.encode(mended, "ISO-8859-1"))
     if name.startswith("utf-32"):
         # With a byte order mark, which is not part of the text and names the order.
         mark = b"\xff\xfe\x00\x00" if name == "utf-32-le" else b"\x00\x00\xfe\xff"

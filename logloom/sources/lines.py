@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logloom.functions.settle import settle
 from logloom.functions.text import charset_name, decode_bytes, split_lines
 
 BLOCK_BITS = 14
@@ -145,39 +146,74 @@ def read_wide_lines(
         F.col("_metadata.file_path").alias("file"),
         _order(order_of, F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")).alias("order"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
         F.col("value").cast("binary").alias("piece"),
     )
     regular = ends & ((size + len(mark)) % unit == 0)
-    last = F.struct(regular.alias("regular"), (size % unit == 0).alias("whole"))
-    splits = raw.groupBy("file", "start").agg(
-        F.sum(size + len(mark)).alias("bytes"), F.count_if(~regular).alias("odd"), F.max_by(last, "row").alias("last"))
+    splits = raw.select("file", "start", size.alias("size"), ends.alias("ends")).mapInArrow(
+        _split_facts(unit, mark), "file string, start bigint, bytes bigint, odd bigint, regular boolean, whole boolean, cuts int")
     by_file = Window.partitionBy("file")
-    before = F.sum("bytes").over(by_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    end = F.max(F.struct("start", "last")).over(by_file)["last"]
+    earlier = by_file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.max(F.struct("start", "regular", "whole")).over(by_file)
     # The last piece of a file need not end like a line.
     plain = F.sum("odd").over(by_file) <= F.when(end["whole"] & ~end["regular"], 1).otherwise(0)
-    mixed = splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), F.coalesce(before, F.lit(0)).alias("before"),
-                          (F.sum("bytes").over(by_file) % unit == 0).alias("closed"), plain.alias("plain"))
-    mixed = mixed.where("NOT plain").drop("plain")
+    placed = splits.select("file", "start", "cuts", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("before"),
+                           (F.sum("bytes").over(by_file) % unit == 0).alias("closed"), plain.alias("plain"))
+    placed = placed.withColumn("newline", F.getbit("cuts", (F.col("before") % unit).cast("int")).cast("int"))
+    placed = placed.withColumn("ahead", F.coalesce(F.sum("newline").over(earlier), F.lit(0)))
+    mixed = placed.where("NOT plain").select(F.col("file").alias("_file"), F.col("start").alias("_start"), "before", "closed", "newline", "ahead")
+    # So that what the joins below take of it is the same, and computed once.
+    mixed = settle(mixed, *mixed.columns)
     # A row for each split, which the driver has planned one by one. Broadcast, as pieces must stay in the order they are read.
-    ready = raw.join(F.broadcast(mixed.select("_file").distinct()), F.col("file") == F.col("_file"), "left_anti").withColumn("ended", regular)
-    placed = raw.withColumn("ends", ends).join(F.broadcast(mixed), (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+    of_split = (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start"))
+    ready = raw.join(F.broadcast(mixed), of_split, "left_anti").withColumn("ended", regular)
+    placed = raw.withColumn("ends", ends).join(F.broadcast(mixed), of_split)
     joined = lambda edges: placed.select(*JOINED, "piece", "ends").mapInArrow(_join_in_splits(unit, mark, edges), JOINED_SCHEMA)
     parts = []
     # Ids given to the rows rise in the order of the lines. What was joined at the start of a split is before its other lines, at its end behind them.
-    for pieces, first in ((ready.withColumn("side", F.lit(0)), 0), (joined(False), 0), (_joined_edges(joined(True), mark), FAR)):
+    for pieces, first in ((ready.withColumn("side", F.lit(0)), 0), (joined(False), 0), (_joined_edges(joined(True).join(F.broadcast(mixed.drop("before", "closed")), of_split), mark), FAR)):
         line = F.when(F.col("ended"), F.substr(F.col("piece"), F.lit(1), F.octet_length("piece") - len(rest))).otherwise(F.col("piece"))
-        lines = pieces.select("file", "order", "start", "side", _wide_lines(line, charset))
+        texts = pieces.select("file", "order", "start", "side", decode_bytes(line, charset).alias("text"))
+        lines = texts.select("file", "order", "start", "side", _wide_lines(F.col("text")))
         parts.append(lines.withColumn("pos", F.monotonically_increasing_id() + F.col("side") * F.lit(first)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select(
         stream(F.col("file")).alias("stream"), F.struct("order", "file", "start").alias("part"),
         F.shiftright("pos", block_bits).alias("block"), "pos", "line")
 
 
-def _wide_lines(piece: Column, charset: str) -> Column:
-    r"""The lines of a piece between newlines; ``\r`` ends a line too, and one at the end belongs to the newline."""
-    return F.explode(F.split(F.regexp_replace(decode_bytes(piece, charset), r"\r\z", ""), r"\r", -1)).alias("line")
+def _wide_lines(text: Column) -> Column:
+    r"""The lines of a text between newlines; ``\r`` ends a line too, and one at the end belongs to the newline."""
+    lines = F.split(F.regexp_replace(text, r"\r\z", ""), r"\r", -1)
+    return F.explode(F.when(F.contains(text, F.lit("\r")), lines).otherwise(F.array(text))).alias("line")
+
+
+def _split_facts(unit: int, mark: bytes):
+    """Of each split, by the sizes of its pieces: its bytes, how many of its pieces are not ``regular``, whether the last one is and whether it is whole
+    units, and in which places of a unit it may start so that one of its cuts is a newline (a bit for each)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, bytes_, odd, last, cuts = None, 0, 0, (False, False), 0
+        for batch in batches:
+            out = []
+            for *key, size, ends in zip(*[column.to_pylist() for column in batch.columns]):
+                if key != of:
+                    if of:
+                        out.append((*of, bytes_, odd, *last, cuts))
+                    of, bytes_, odd, cuts = key, 0, 0, 0
+                bytes_ += size + len(mark)
+                last = (ends and (size + len(mark)) % unit == 0, size % unit == 0)
+                odd += not last[0]
+                if ends:
+                    cuts |= 1 << -bytes_ % unit
+            yield _record_batch(out)
+        if of:
+            yield _record_batch([(*of, bytes_, odd, *last, cuts)])
+
+    def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows)) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, kinds.values())], list(kinds))
+
+    kinds = {"file": pa.string(), "start": pa.int64(), "bytes": pa.int64(), "odd": pa.int64(), "regular": pa.bool_(), "whole": pa.bool_(), "cuts": pa.int32()}
+    return run
 
 
 def _join_in_splits(unit: int, mark: bytes, edges: bool):
@@ -217,15 +253,12 @@ def _join_in_splits(unit: int, mark: bytes, edges: bool):
 def _joined_edges(edges: DataFrame, mark: bytes) -> DataFrame:
     """Edges of splits joined up to the next newline: ``file, order, start, piece, ended, side``, in order.
 
-    The last one of a ``closed`` file has a cut behind it, which is part of its text if it is no newline.
+    ``ahead`` is the number of earlier splits of the file that have a newline, ``newline`` tells of the split itself. The last edge of a
+    ``closed`` file has a cut behind it, which is part of its text if it is no newline.
     """
-    per_split = edges.groupBy("file", "start").agg(F.count_if("ended").alias("n"))
-    ahead = F.sum("n").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    counts = per_split.select(F.col("file").alias("_f"), F.col("start").alias("_s"), F.coalesce(ahead, F.lit(0)).alias("ahead"))
-    numbered = edges.join(counts, (F.col("file") == F.col("_f")) & (F.col("start") == F.col("_s")))
     # A split has at most one edge that ended, before one that did not.
-    number = F.col("ahead") + F.when(F.col("ended"), 0).otherwise(F.count_if("ended").over(Window.partitionBy("file", "start")))
-    groups = numbered.withColumn("number", number).groupBy("file", "order", "number").agg(
+    number = F.col("ahead") + F.when(F.col("ended"), 0).otherwise(F.col("newline"))
+    groups = edges.withColumn("number", number).groupBy("file", "order", "number").agg(
         F.sort_array(F.collect_list(F.struct("start", "side", "piece"))).alias("pieces"), F.max("ended").alias("ended"), F.first("closed").alias("closed"))
     between = mark.hex().upper()
     hexes = F.array_join(F.transform("pieces", lambda p: F.hex(p["piece"])), between)

@@ -207,6 +207,18 @@ def test_plain_wide_files_need_no_shuffle_of_text(spark, tmp_path, charset):
     assert "ArrowEvalPython" not in lines._jdf.queryExecution().executedPlan().toString()
 
 
+def test_mixed_wide_files_are_read_four_times(spark, tmp_path):
+    """For the places of their splits, for plain files, for lines inside of splits and for those at their edges."""
+    (tmp_path / "in").write_bytes("one\nĊ漊ĀਅĀ\n\nthree".encode("UTF-16LE") * 20)
+    splits = spark.newSession()
+    splits.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    splits.conf.set("spark.sql.files.openCostInBytes", "1")
+    counted = read_lines(splits, str(tmp_path), "UTF-16LE").groupBy("line").count()
+    assert sum(row["count"] for row in counted.collect()) == 61
+    final = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan text") == 4
+
+
 def test_only_edges_of_splits_are_joined_over_splits():
     """Pieces of UTF-16BE in two splits, the first one cut inside its third line; the second one's first cut is no newline."""
     names = ["file", "order", "start", "before", "closed", "piece", "ends"]

@@ -52,3 +52,19 @@ def test_wide_files_go_once_their_lines_are_counted(spark, tmp_path):
     got = {(row.charset, row.line): row.n for row in rows}
     assert len(got) == len(rows) and {got[charset, "one"] for charset in WIDE_CHARSETS} == {2}
     assert not [folder for folder in set(work.glob("wide-*")) - before if not folder.name.startswith("wide-lines-")]
+
+
+def test_wide_files_take_several_splits_to_a_task(spark, tmp_path):
+    text = "\n".join(f"line {i} " + "x" * 90 for i in range(1_000))
+    spark.createDataFrame([(i, f"{i} {text}") for i in range(50)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.sparkContext.setJobGroup("wide splits", "")
+    try:
+        rows = queries()["s2_charset_files"](spark, str(tmp_path)).where("line LIKE '7 line%' OR line LIKE 'line 7 %'").collect()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert sorted(row.n for row in rows) == [1] * 4 + [50] * 4
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("wide splits")]
+    tasks = [info.numTasks for job in jobs for stage in job.stageIds if (info := tracker.getStageInfo(stage))]
+    # A stage holds two scans and what stands at the edges of splits.
+    assert 1 < max(tasks) <= 3 * 4 * spark.sparkContext.defaultParallelism
